@@ -83,14 +83,12 @@ def referrer_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def _numbered(counts: DataFrame, ts_col: str, seconds: float) -> DataFrame:
+def _numbered(counts: DataFrame, ts_col: str) -> DataFrame:
     """Add ``position``, the row number in time order, without one global sort.
 
-    Rows are numbered inside blocks of time; only one size per block, at most one
-    for every ``SPIKE_BLOCK`` windows, is summed up in time order.
+    Rows are numbered inside their ``block`` of time; only the sizes of the blocks,
+    one row for ``SPIKE_BLOCK`` windows, are summed up in time order.
     """
-    block = F.floor(F.unix_micros(ts_col) / F.lit(seconds * 1_000_000 * SPIKE_BLOCK))
-    counts = counts.withColumn("block", block)
     before = F.coalesce(
         F.sum("size").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
@@ -109,18 +107,23 @@ def spikes(
     exact decimals, so the verdict does not depend on the order of addition.
     """
     needed = lookback if min_history is None else min_history
+    start, end = F.unix_micros("time_window.start"), F.unix_micros("time_window.end")
     windows = windowed_count(df, (), width)
-    counts = windows.select(F.col("time_window.start").alias("window_start"), "request_count")
-    seconds = df.sparkSession.range(1).select(
-        F.window(F.timestamp_seconds(F.lit(0)), width).alias("w")
-    ).select((F.unix_micros("w.end") - F.unix_micros("w.start")).alias("us")).first()["us"] / 1_000_000
+    # Stored once: the numbering reads the counts twice, the events must not be.
+    counts = materialise(
+        windows.select(
+            F.col("time_window.start").alias("window_start"),
+            "request_count",
+            F.floor(start / ((end - start) * SPIKE_BLOCK)).alias("block"),
+        )
+    )
 
     # Chunks of consecutive windows, each with the last `lookback` of the chunk
     # before it, so that every frame is complete inside one chunk.
     length = max(SPIKE_BLOCK, lookback)
     chunk, place = F.floor(F.col("position") / length), F.col("position") % length
     homes = F.when(place >= length - lookback, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
-    spread = _numbered(counts, "window_start", seconds).select(
+    spread = _numbered(counts, "window_start").select(
         "window_start", "request_count", "position", chunk.alias("home"), F.explode(homes).alias("chunk")
     )
     frame = Window.partitionBy("chunk").orderBy("position").rowsBetween(-lookback, -1)
@@ -162,7 +165,8 @@ def value_percentiles(
     Exact with linear interpolation by default. The built-in ``percentile`` holds
     all values of a group in one task, so it only serves inputs of up to
     ``in_memory_rows`` rows; larger ones are narrowed down to the cells of the
-    value range that hold the wanted ranks. ``accuracy`` asks for the
+    value range that hold the wanted ranks. That reads ``df`` three times, so give
+    it a stored table rather than raw lines. ``accuracy`` asks for the
     constant-size sketch instead, whose results are values of the column.
     """
     ps = list(ps)
@@ -171,16 +175,18 @@ def value_percentiles(
         return values.groupBy(*by).agg(
             *[F.percentile_approx("v", p, accuracy).alias(percentile_name(p)) for p in ps]
         )
-    # Stops counting one row past the bound.
-    if values.limit(in_memory_rows + 1).count() <= in_memory_rows:
+    # One pass for the row count and the cut points, a sketch of bounded size.
+    steps = [i / PERCENTILE_CELLS for i in range(1, PERCENTILE_CELLS)]
+    outline = values.agg(
+        F.count("*").alias("n"), F.percentile_approx("v", steps, 10 * PERCENTILE_CELLS).alias("cuts")
+    ).first()
+    if outline["n"] <= in_memory_rows:
         return values.groupBy(*by).agg(*[F.percentile("v", p).alias(percentile_name(p)) for p in ps])
-    return _percentiles_by_cell(values, list(by), ps)
+    return _percentiles_by_cell(values, list(by), ps, outline["cuts"] or [])
 
 
-def _percentiles_by_cell(values: DataFrame, by: list[str], ps: list[float]) -> DataFrame:
-    # 1. Cut points of the whole column: a bounded sketch, one row.
-    steps = [i / PERCENTILE_CELLS for i in range(1, PERCENTILE_CELLS)]
-    cuts = values.agg(F.percentile_approx("v", steps, 10 * PERCENTILE_CELLS).alias("c")).first()["c"] or []
+def _percentiles_by_cell(values: DataFrame, by: list[str], ps: list[float], cuts: list[float]) -> DataFrame:
+    # 1. Give each value its cell of the value range; equal values share one.
     inner = sorted({cut for cut in cuts if cut == cut and abs(cut) != float("inf")})
     if inner:
         splits = [float("-inf"), *inner, float("inf")]
