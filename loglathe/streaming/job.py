@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -95,9 +96,9 @@ def wait_all(spark: SparkSession, queries: Mapping[str, StreamingQuery]) -> None
         try:
             # Returns as soon as any query of the session ends, not only the first.
             spark.streams.awaitAnyTermination(5)
-        except Exception:
-            if not any(query.exception() for query in queries.values()):
-                raise
+        except StreamingQueryException:
+            # Maybe of a query not waited for here; ours are looked at above.
+            pass
         finally:
             spark.streams.resetTerminated()
 

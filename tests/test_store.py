@@ -1,0 +1,139 @@
+import pytest
+from pyspark.sql import functions as F
+
+from loglathe import (
+    append_rows,
+    compact,
+    drop_table,
+    ensure_tables,
+    expire,
+    last_batch,
+    read_latest,
+    table_path,
+    vacuum,
+    write_batch,
+)
+from loglathe.schema import TABLES
+from loglathe.session import scratch_dir
+from loglathe.store import paths
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "tables")
+
+
+@pytest.fixture
+def minutes(spark):
+    def make(*rows):
+        df = spark.createDataFrame(rows, "minute string, request_count long")
+        return df.select(F.col("minute").cast("timestamp").alias("minute"), "request_count", F.lit("traffic").alias("log_type"))
+
+    return make
+
+
+def content(spark, root, **kwargs):
+    rows = read_latest(spark, "traffic_by_minute", root, **kwargs).select(F.date_format("minute", "d HH:mm"), "request_count")
+    return sorted(map(tuple, rows.collect()))
+
+
+def test_create_and_drop(spark, root):
+    assert set(ensure_tables(spark, root)) == set(TABLES)
+    assert ensure_tables(spark, root) == []
+    for analysis, table in TABLES.items():
+        empty = read_latest(spark, analysis, root)
+        assert empty.schema == table.schema and empty.count() == 0
+    assert table_path(root, "top_ips").endswith("/web-logs-ip-analysis")
+    assert drop_table(spark, root, "top_ips") is True
+    assert drop_table(spark, root, "top_ips") is False
+    with pytest.raises(ValueError):
+        table_path(root, "ip")
+
+
+def test_newest_version_counts(spark, root, minutes):
+    assert append_rows(minutes(("2024-01-01 00:00", 1), ("2024-01-01 00:01", 5)), "traffic_by_minute", root) == (2, 0)
+    assert append_rows(minutes(("2024-01-01 00:01", 7)), "traffic_by_minute", root) == (1, 0)
+    assert content(spark, root) == [("1 00:00", 1), ("1 00:01", 7)]
+    assert content(spark, root, upto=0) == [("1 00:00", 1), ("1 00:01", 5)]
+    assert last_batch(spark, root, "traffic_by_minute") == 1
+
+
+def test_replay_replaces_its_batch(spark, root, minutes):
+    rows = minutes(("2024-01-01 00:00", 1), ("2024-01-01 00:01", 5))
+    write_batch(rows, "traffic_by_minute", root, 0)
+    write_batch(rows, "traffic_by_minute", root, 0)
+    assert content(spark, root) == [("1 00:00", 1), ("1 00:01", 5)]
+
+
+def test_empty_batch_leaves_nothing(spark, root, minutes):
+    assert write_batch(minutes(("2024-01-01", 1)).limit(0), "traffic_by_minute", root, 0) == (0, 0)
+    assert last_batch(spark, root, "traffic_by_minute") == -1
+
+
+def test_values_that_do_not_fit_are_counted(spark, root):
+    df = spark.createDataFrame(
+        [("a", "2024-01-01", "/", "404"), ("b", "2024-01-01", "/", "x"), ("c", None, "/", None)],
+        "ip string, timestamp string, url string, status_code string",
+    ).withColumns({"method": F.lit("GET"), "log_type": F.lit("error")})
+    assert append_rows(df, "error_logs", root) == (2, 1)
+    rows = read_latest(spark, "error_logs", root)
+    assert rows.schema == TABLES["error_logs"].schema
+    assert {(r["ip"], r["status_code"]) for r in rows.collect()} == {("a", 404), ("c", None)}
+    assert rows.filter("processed_at IS NULL").count() == 0
+
+
+def test_unfinished_batch_is_not_read(spark, root, minutes):
+    write_batch(minutes(("2024-01-01 00:00", 1)), "traffic_by_minute", root, 0)
+    write_batch(minutes(("2024-01-01 00:00", 9)), "traffic_by_minute", root, 1)
+    paths.delete(spark, f"{table_path(root, 'traffic_by_minute')}/batches/batch_id=1/_SUCCESS")
+    assert content(spark, root) == [("1 00:00", 1)]
+
+
+def test_compaction_keeps_the_content(spark, root, minutes):
+    write_batch(minutes(("2024-01-01 00:00", 1), ("2024-01-03 00:00", 2)), "traffic_by_minute", root, 0)
+    write_batch(minutes(("2024-01-03 00:00", 4)), "traffic_by_minute", root, 1)
+    before = content(spark, root)
+    assert compact(spark, "traffic_by_minute", root) == 1
+    assert content(spark, root) == before
+    assert vacuum(spark, "traffic_by_minute", root) == 2
+    assert content(spark, root) == before
+    # The last batch is replayed after it was folded in: nothing changes.
+    write_batch(minutes(("2024-01-03 00:00", 4)), "traffic_by_minute", root, 1)
+    assert content(spark, root) == before
+    write_batch(minutes(("2024-01-03 00:00", 6)), "traffic_by_minute", root, 2)
+    assert content(spark, root) == [("1 00:00", 1), ("3 00:00", 6)]
+    assert compact(spark, "traffic_by_minute", root) == 2
+    assert paths.days(spark, f"{table_path(root, 'traffic_by_minute')}/compact/upto=2") == ["2024-01-01", "2024-01-03"]
+
+
+def test_day_filter_prunes_folders(spark, root, minutes):
+    write_batch(minutes(("2024-01-01 00:00", 1), ("2024-01-03 00:00", 2)), "traffic_by_minute", root, 0)
+    compact(spark, "traffic_by_minute", root)
+    stored = spark.read.parquet(f"{table_path(root, 'traffic_by_minute')}/compact/upto=0").filter("dt = DATE'2024-01-03'")
+    assert stored.count() == 1
+    assert "PartitionFilters: [isnotnull(dt" in stored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_retention(spark, root, minutes):
+    rows = [(f"2024-01-0{d} 00:00", d) for d in range(1, 7)]
+    write_batch(minutes(*rows), "traffic_by_minute", root, 0)
+    compact(spark, "traffic_by_minute", root, retain_days=3, as_of="2024-01-06")
+    assert content(spark, root) == [(f"{d} 00:00", d) for d in range(3, 7)]
+    assert expire(spark, "traffic_by_minute", root, 1, as_of="2024-01-06") == 2
+    assert content(spark, root) == [("5 00:00", 5), ("6 00:00", 6)]
+    compact(spark, "traffic_by_minute", root, retain_days=0, as_of="2024-01-06")
+    assert content(spark, root) == [("6 00:00", 6)]
+
+
+@pytest.mark.parametrize("fmt", ["json", "orc"])
+def test_other_file_formats(spark, root, minutes, fmt):
+    append_rows(minutes(("2024-01-01 00:00", 1)), "traffic_by_minute", root, fmt=fmt)
+    append_rows(minutes(("2024-01-01 00:00", 2)), "traffic_by_minute", root, fmt=fmt)
+    assert content(spark, root, fmt=fmt) == [("1 00:00", 2)]
+    with pytest.raises(ValueError):
+        append_rows(minutes(("2024-01-01 00:00", 2)), "traffic_by_minute", root, fmt="text")
+
+
+def test_scratch_follows_the_session_setting(spark):
+    assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch_dir(spark) != scratch_dir(spark)
