@@ -175,18 +175,18 @@ def value_percentiles(
         return values.groupBy(*by).agg(
             *[F.percentile_approx("v", p, accuracy).alias(percentile_name(p)) for p in ps]
         )
-    # One pass for the row count and the cut points, a sketch of bounded size.
-    steps = [i / PERCENTILE_CELLS for i in range(1, PERCENTILE_CELLS)]
-    outline = values.agg(
-        F.count("*").alias("n"), F.percentile_approx("v", steps, 10 * PERCENTILE_CELLS).alias("cuts")
-    ).first()
-    if outline["n"] <= in_memory_rows:
-        return values.groupBy(*by).agg(*[F.percentile("v", p).alias(percentile_name(p)) for p in ps])
-    return _percentiles_by_cell(values, list(by), ps, outline["cuts"] or [])
+    # Reads no further than one row past the bound.
+    if values.select().offset(in_memory_rows).isEmpty():
+        found = values.groupBy(*by).agg(F.percentile("v", ps).alias("found"))
+        return found.select(*by, *[F.col("found")[i].alias(percentile_name(p)) for i, p in enumerate(ps)])
+    return _percentiles_by_cell(values, list(by), ps)
 
 
-def _percentiles_by_cell(values: DataFrame, by: list[str], ps: list[float], cuts: list[float]) -> DataFrame:
-    # 1. Give each value its cell of the value range; equal values share one.
+def _percentiles_by_cell(values: DataFrame, by: list[str], ps: list[float]) -> DataFrame:
+    # 1. Cut points of the whole column, a sketch of bounded size; equal values
+    #    share a cell.
+    steps = [i / PERCENTILE_CELLS for i in range(1, PERCENTILE_CELLS)]
+    cuts = values.agg(F.percentile_approx("v", steps, 10 * PERCENTILE_CELLS).alias("cuts")).first()["cuts"] or []
     inner = sorted({cut for cut in cuts if cut == cut and abs(cut) != float("inf")})
     if inner:
         splits = [float("-inf"), *inner, float("inf")]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clf import CLF_WALL_CLOCK_FORMAT
-from ..session import use_utc
+from ..session import spread, use_utc
 
 AGENTS = [
     "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36",
@@ -37,7 +37,9 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields of a request, one row per event."""
     event, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
     failed = F.when(event % 3 == 0, 500).when(event % 3 == 1, 404).otherwise(403)
-    return events(spark, sf_dir).select(
+    # Writing and parsing a line costs more than moving an event.
+    source = spread(events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value"))
+    return source.select(
         "event_id",
         F.col("ts").alias("timestamp"),
         "user_id",

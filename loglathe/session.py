@@ -77,3 +77,13 @@ def materialise(df: DataFrame) -> DataFrame:
     path = scratch_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a batch input with fewer splits than cores to all cores.
+
+    For inputs Spark cannot split, such as gzip files or one row group, and work
+    that costs more than moving the rows. Anything larger is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
