@@ -61,23 +61,23 @@ def check_ranges(ranges: DataFrame) -> DataFrame:
     Overlaps are looked for block by block, so no task sorts the whole table.
     """
     bounds = _bounds(ranges)
-    bad = bounds.filter(
-        "first IS NULL OR last IS NULL OR first > last OR first < 0 OR last > 4294967295"
+    valid = F.coalesce(F.expr("0 <= first AND first <= last AND last <= 4294967295"), F.lit(False))
+    malformed = bounds.filter(~valid).select(
+        F.concat_ws(" ", F.lit("malformed range:"), "first", "last", "place").alias("problem")
     )
-    if not bad.isEmpty():
-        raise ValueError(f"malformed range: {bad.first().asDict()}")
-    whole, parts = _pieces(bounds)
+    whole, parts = _pieces(bounds.filter(valid))
     twice = whole.groupBy("block16").count().filter("count > 1").select("block16")
     inside = parts.select(F.shiftright("block24", 8).alias("block16")).join(whole, "block16", "left_semi")
     previous = F.max("last24").over(
         Window.partitionBy("block24").orderBy("first24").rowsBetween(Window.unboundedPreceding, -1)
     )
     crossing = parts.withColumn("previous", previous).filter("first24 <= previous")
-    clashes = twice.union(inside).union(crossing.select(F.shiftright("block24", 8).alias("block16")))
-    clash = clashes.limit(1).collect()
-    if clash:
-        block = clash[0]["block16"]
-        raise ValueError(f"ranges overlap within {block >> 8}.{block & 255}.0.0/16")
+    clashes = twice.union(inside).union(crossing.select(F.shiftright("block24", 8)))
+    block = F.concat_ws(".", F.shiftright("block16", 8), F.col("block16") % 256, F.lit("0"), F.lit("0/16"))
+    overlapping = clashes.select(F.concat_ws(" ", F.lit("ranges overlap within"), block))
+    problem = malformed.union(overlapping).first()
+    if problem:
+        raise ValueError(problem[0])
     return bounds
 
 
