@@ -14,7 +14,8 @@ from .windows import windowed_count
 
 TOP_K_SALTS = 32
 SPIKE_BLOCK = 4096
-PERCENTILE_CELLS = 1024
+PERCENTILE_CELLS = 4096
+SKETCH_PARTS = 256
 
 
 def status_distribution(df: DataFrame) -> DataFrame:
@@ -183,10 +184,13 @@ def value_percentiles(
 
 
 def _percentiles_by_cell(values: DataFrame, by: list[str], ps: list[float]) -> DataFrame:
-    # 1. Cut points of the whole column, a sketch of bounded size; equal values
-    #    share a cell.
+    # 1. Cut points of the whole column; equal values share a cell. They only have
+    #    to be roughly even, so sketches are merged in parts and then once more,
+    #    which keeps the last task from merging one sketch per input split.
     steps = [i / PERCENTILE_CELLS for i in range(1, PERCENTILE_CELLS)]
-    cuts = values.agg(F.percentile_approx("v", steps, 10 * PERCENTILE_CELLS).alias("cuts")).first()["cuts"] or []
+    sketch = F.percentile_approx("v", steps, 2 * PERCENTILE_CELLS).alias("cuts")
+    by_part = values.groupBy((F.spark_partition_id() % SKETCH_PARTS).alias("part")).agg(sketch)
+    cuts = by_part.select(F.explode("cuts").alias("v")).agg(sketch).first()["cuts"] or []
     inner = sorted({cut for cut in cuts if cut == cut and abs(cut) != float("inf")})
     if inner:
         splits = [float("-inf"), *inner, float("inf")]

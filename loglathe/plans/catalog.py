@@ -12,8 +12,8 @@ from .. import operators as op
 from .. import store
 from ..functions.keys import document_id, with_message_key
 from ..session import materialise, scratch_dir
-from ..sources import decode_kafka, load_json_results, read_log_files
-from ..streaming import start_all, wait_all
+from ..sources import decode_kafka, load_json_results, read_events, read_log_files
+from ..streaming import start_all, to_files, wait_all
 from . import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,6 +181,15 @@ def url_stream(spark, sf_dir):
     return _streamed(spark, sf_dir, "url_analysis")
 
 
+@query
+def stored_events(spark, sf_dir):
+    base = scratch_dir(spark)
+    inputs.raw_lines(spark, sf_dir).select("raw_log").write.text(f"{base}/logs")
+    events = op.parse_clf(read_log_files(spark, f"{base}/logs", streaming=True))
+    wait_all(spark, {"events": to_files(events, f"{base}/events", f"{base}/checkpoint", available_now=True)})
+    return read_events(spark, f"{base}/events").drop("kafka_timestamp", "hour", "minute")
+
+
 # Result tables
 
 

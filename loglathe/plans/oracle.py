@@ -137,6 +137,8 @@ SELECT cause, count(*) AS line_count FROM (
     "traffic_stream": _with(_TRAFFIC),
     "ip_stream": _with(_IPS),
     "url_stream": _with(_URLS),
+    "stored_events": _with("""
+SELECT ip, timestamp, method, url, protocol, status_code, content_size, raw_log FROM parsed"""),
     "append_errors": _with(_ERRORS),
     "table_compaction": _with(_TRAFFIC),
     "json_table": _with(_URLS),

@@ -1,6 +1,6 @@
 """Sources of raw lines and of stored results."""
 
-from .files import read_log_files
+from .files import read_events, read_log_files
 from .kafka import (
     decode_kafka,
     kafka_read_options,
@@ -16,6 +16,7 @@ __all__ = [
     "kafka_write_options",
     "load_json_results",
     "parse_documents",
+    "read_events",
     "read_kafka",
     "read_log_files",
     "write_kafka",

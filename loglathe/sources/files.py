@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import strip
+from ..schema import EVENTS
 
 
 def read_log_files(
@@ -32,3 +33,13 @@ def read_log_files(
         reader = spark.read
     lines = reader.text(path).select(strip(F.col("value")).alias("raw_log")).filter(F.col("raw_log") != "")
     return lines.limit(max_lines) if max_lines else lines
+
+
+def read_events(
+    spark: SparkSession, path: str, streaming: bool = False, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Parsed events stored as parquet, to run several analyses on one parse."""
+    reader = spark.readStream if streaming else spark.read
+    if streaming and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.schema(EVENTS).parquet(path)

@@ -9,7 +9,7 @@ from .job import (
     stop_all,
     wait_all,
 )
-from .sinks import search_index_options, to_connector, to_console, to_table, with_document_id
+from .sinks import search_index_options, to_connector, to_console, to_files, to_table, with_document_id
 
 __all__ = [
     "ANALYSES",
@@ -21,6 +21,7 @@ __all__ = [
     "stop_all",
     "to_connector",
     "to_console",
+    "to_files",
     "to_table",
     "wait_all",
     "with_document_id",

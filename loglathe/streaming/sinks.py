@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -139,3 +139,27 @@ def to_console(df: DataFrame, name: str, trigger: str = TRIGGER, available_now:
     return (
         writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
     ).start()
+
+
+def to_files(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    trigger: str = TRIGGER,
+    available_now: bool = False,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Append a stream that only adds rows, such as parsed events, to plain files.
+
+    Each row is stored exactly once over restarts. Streams that read the folder
+    share the parsing: see ``read_events``.
+    """
+    writer = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if query_name:
+        writer = writer.queryName(query_name)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
+    return writer.start(path)

@@ -9,6 +9,7 @@ from loglathe import (
     error_events,
     last_batch,
     parse_clf,
+    read_events,
     read_latest,
     read_log_files,
     search_index_options,
@@ -18,6 +19,7 @@ from loglathe import (
     table_path,
     to_connector,
     to_console,
+    to_files,
     to_table,
     traffic,
     wait_all,
@@ -163,6 +165,20 @@ def test_json_sink(spark, logs, where):
     assert paths.exists(spark, files) and spark.read.json(files).count() == 1
 
 
+def test_stored_events_share_one_parse(spark, logs, where, tmp_path):
+    folder = str(tmp_path / "events")
+    for minute in (0, 1, 5):
+        logs.add(("a", at(minute), "/x", 200), ("b", at(minute, 9), "/y", 404))
+        query = to_files(logs.stream(spark), folder, str(tmp_path / "cp"), available_now=True)
+        assert query.awaitTermination(60) and query.exception() is None
+        run(spark, read_events(spark, folder, streaming=True), where, analyses=["traffic_by_minute", "error_logs"])
+    assert rows(read_events(spark, folder)) == rows(logs.batch(spark))
+    for name, frame in analysis_frames(logs.batch(spark), ["traffic_by_minute", "error_logs"]).items():
+        assert rows(read_latest(spark, name, where[0])) == rows(frame), name
+    plan = traffic(read_events(spark, folder))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<timestamp:timestamp>" in plan and "regexp" not in plan
+
+
 def test_console(spark, logs):
     logs.add(("a", at(0), "/x", 404))
     query = to_console(error_events(logs.stream(spark)), "errors_console", available_now=True)
