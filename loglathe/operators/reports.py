@@ -38,7 +38,7 @@ def top_k(df: DataFrame, key: str, k: int = 10, width: str | None = None) -> Dat
         counts = df.groupBy(key).agg(F.count("*").alias("request_count"))
         # At most k rows reach this window.
         return counts.orderBy(*best).limit(k).select(
-            F.row_number().over(Window.orderBy(*best)).alias("rank"), key, "request_count"
+            F.row_number().over(Window.orderBy(*best)).cast("bigint").alias("rank"), key, "request_count"
         )
     counts = windowed_count(df, (key,), width).select(
         F.col("time_window.start").alias("window_start"), key, "request_count"
@@ -57,7 +57,7 @@ def top_k(df: DataFrame, key: str, k: int = 10, width: str | None = None) -> Dat
     return (
         counts.withColumn("rank", rank)
         .filter(F.col("rank") <= k)
-        .select("window_start", "rank", key, "request_count")
+        .select("window_start", F.col("rank").cast("bigint").alias("rank"), key, "request_count")
     )
 
 
