@@ -1,11 +1,14 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import exact_dedup, sharding
+from . import exact_dedup, line_dedup, packing, sharding
 
 QUERIES = {
+    "op2_line_windows": line_dedup.op2_line_windows,
+    "op3_shortest_pack_first": packing.op3_shortest_pack_first,
     "op7_content_sort": exact_dedup.op7_content_sort,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
 }
 ORACLE = {
+    "op2_line_windows": line_dedup.OP2_SQL,
     "op7_content_sort": exact_dedup.OP7_SQL,
 }
