@@ -1,12 +1,13 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import decontaminate, exact_dedup, language, line_dedup, near_dup, packing, sharding, toxicity
+from . import decontaminate, exact_dedup, language, line_dedup, near_dup, packing, quality, sharding, toxicity
 
 QUERIES = {
     "op1_noisy_or_toxicity": toxicity.op1_noisy_or_toxicity,
     "op2_line_windows": line_dedup.op2_line_windows,
     "op3_shortest_pack_first": packing.op3_shortest_pack_first,
     "op4_family_language": language.op4_family_language,
+    "op5_co_trained_quality": quality.op5_co_trained_quality,
     "op7_content_sort": exact_dedup.op7_content_sort,
     "op8_bbit_minhash": near_dup.op8_bbit_minhash,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
