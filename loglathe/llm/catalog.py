@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import decontaminate, exact_dedup, language, line_dedup, near_dup, packing, quality, sharding, toxicity
+from . import decontaminate, exact_dedup, language, line_dedup, near_dup, packing, quality, sharding, toxicity, warc
 
 QUERIES = {
     "op1_noisy_or_toxicity": toxicity.op1_noisy_or_toxicity,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_shortest_pack_first": packing.op3_shortest_pack_first,
     "op4_family_language": language.op4_family_language,
     "op5_co_trained_quality": quality.op5_co_trained_quality,
+    "op6_two_level_index": warc.op6_two_level_index,
     "op7_content_sort": exact_dedup.op7_content_sort,
     "op8_bbit_minhash": near_dup.op8_bbit_minhash,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
