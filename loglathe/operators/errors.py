@@ -19,11 +19,9 @@ def error_events(df: DataFrame, min_status: int = 400, keep: Sequence[str] = ())
     return tagged(failed.select("ip", "timestamp", "url", "status_code", "method", *keep), "error")
 
 
-def error_trend(df: DataFrame, width: str = "1 hour", min_status: int = 400) -> DataFrame:
+def error_trend(df: DataFrame, width: str = "1 hour", min_status: int = 400, watermark: str | None = "2 minutes") -> DataFrame:
     """Failed requests per window and status code."""
-    return (
-        df.filter(F.col("status_code") >= min_status)
-        .groupBy(F.window("timestamp", width).alias("time_window"), "status_code")
-        .agg(F.count("*").alias("request_count"))
-        .select(F.col("time_window.start").alias("window_start"), "status_code", "request_count")
-    )
+    from .windows import windowed_count  # it tags its rows with this module
+
+    counts = windowed_count(df.filter(F.col("status_code") >= min_status), ("status_code",), width, watermark)
+    return counts.select(F.col("time_window.start").alias("window_start"), "status_code", "request_count")

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.network import ipv4_to_long
-
-# A broadcast of the split ranges beyond this many bytes is refused.
-BROADCAST_BYTES = 64 << 20
+from ..session import materialise
 
 
 def _bounds(ranges: DataFrame) -> DataFrame:
@@ -81,27 +79,25 @@ def check_ranges(ranges: DataFrame) -> DataFrame:
     return bounds
 
 
-def locate(df: DataFrame, ranges: DataFrame, col: str = "ip", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def locate(df: DataFrame, ranges: DataFrame, col: str = "ip") -> DataFrame:
     """Add the ``place`` of each client; null for host names and unknown addresses.
 
     ``ranges`` has ``start`` and ``end`` (dotted or numeric, inclusive, without
-    overlap) and ``place``. The events are not shuffled while the measured size
-    of the split ranges allows a broadcast; otherwise they are joined on their
-    /24 block, where adaptive execution splits a hot block.
+    overlap) and ``place``. The split ranges are stored once, so Spark knows their size
+    and broadcasts them below its own threshold; otherwise the events are joined on
+    their blocks, where adaptive execution splits a hot one. Host names have no block:
+    each row gets a key of its own that no range has, so they do not meet in one task.
     """
-    whole, parts = _pieces(check_ranges(ranges))
-    size = parts.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("place24"), F.lit(0)) + 64), F.lit(0))).first()[0]
-    fits = size <= broadcast_bytes
-
+    whole, parts = _pieces(check_ranges(materialise(ranges.select("start", "end", "place"))))
+    whole, parts = materialise(whole), materialise(parts)
     located = df.withColumn("_address", ipv4_to_long(F.col(col)))
-    located = located.withColumns(
-        {"_block24": F.shiftright("_address", 8), "_block16": F.shiftright("_address", 16)}
-    )
+    nowhere = -1 - F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(1 << 30))
+    located = located.withColumns({
+        "_block24": F.coalesce(F.shiftright("_address", 8), nowhere),
+        "_block16": F.coalesce(F.shiftright("_address", 16), nowhere),
+    })
     located = located.join(
-        F.broadcast(parts) if fits else parts.hint("merge"),
-        (F.col("_block24") == F.col("block24")) & F.col("_address").between(F.col("first24"), F.col("last24")),
-        "left",
+        parts, (F.col("_block24") == F.col("block24")) & F.col("_address").between(F.col("first24"), F.col("last24")), "left"
     )
-    # At most 65,536 rows, see _pieces.
-    located = located.join(F.broadcast(whole), F.col("_block16") == F.col("block16"), "left")
-    return located.select(*df.columns, F.coalesce("place24", "place16").alias("place"))
+    located = located.join(whole, F.col("_block16") == F.col("block16"), "left")
+    return located.select(*[F.col(f"`{name}`") for name in df.columns], F.coalesce("place24", "place16").alias("place"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +13,6 @@ from .windows import windowed_count
 
 TOP_K_SALTS = 32
 SPIKE_BLOCK = 4096
-PERCENTILE_CELLS = 4096
-SKETCH_PARTS = 256
 
 
 def status_distribution(df: DataFrame) -> DataFrame:
@@ -98,13 +95,34 @@ def _numbered(counts: DataFrame, ts_col: str) -> DataFrame:
     return counts.join(offsets, "block").withColumn("position", F.col("offset") + within - 1)
 
 
+def _filled(counts: DataFrame) -> DataFrame:
+    """All windows from the first to the last, those without traffic with a count of 0."""
+    start = F.unix_micros("window_start")
+    first, last, step = counts.agg(F.min(start), F.max(start), F.max("step")).first()
+    if step is None:
+        return counts
+    every = counts.sparkSession.range((last - first) // step + 1).select(
+        F.timestamp_micros(F.lit(first) + F.col("id") * F.lit(step).cast("bigint")).alias("window_start")
+    )
+    block = F.floor(start / (F.lit(step).cast("bigint") * SPIKE_BLOCK))
+    return every.join(counts.select("window_start", "request_count"), "window_start", "left").select(
+        "window_start", F.coalesce("request_count", F.lit(0)).alias("request_count"), block.alias("block")
+    )
+
+
 def spikes(
-    df: DataFrame, width: str = "1 hour", lookback: int = 24, z: float = 3.0, min_history: int | None = None
+    df: DataFrame,
+    width: str = "1 hour",
+    lookback: int = 24,
+    z: float = 3.0,
+    min_history: int | None = None,
+    fill_gaps: bool = False,
 ) -> DataFrame:
     """Windows with more requests than the mean plus ``z`` deviations before them.
 
-    The baseline is the ``lookback`` preceding windows that saw traffic; a window
-    with fewer than ``min_history`` (default: all) of them is not judged. Sums are
+    The baseline is the ``lookback`` preceding windows that saw traffic, or with
+    ``fill_gaps`` simply the preceding ones, where an outage counts as zero requests; a
+    window with fewer than ``min_history`` (default: all) of them is not judged. Sums are
     exact decimals, so the verdict does not depend on the order of addition.
     """
     needed = lookback if min_history is None else min_history
@@ -116,8 +134,11 @@ def spikes(
             F.col("time_window.start").alias("window_start"),
             "request_count",
             F.floor(start / ((end - start) * SPIKE_BLOCK)).alias("block"),
+            (end - start).alias("step"),
         )
     )
+    if fill_gaps:
+        counts = _filled(counts)
 
     # Chunks of consecutive windows, each with the last `lookback` of the chunk
     # before it, so that every frame is complete inside one chunk.
@@ -159,77 +180,43 @@ def value_percentiles(
     by: Sequence[str] = (),
     ps: Sequence[float] = (0.5, 0.95, 0.99),
     accuracy: int | None = None,
-    in_memory_rows: int = 1_000_000,
 ) -> DataFrame:
     """Percentiles of a numeric column, per group: one column ``p<percent>`` each.
 
-    Exact with linear interpolation by default. The built-in ``percentile`` holds
-    all values of a group in one task, so it only serves inputs of up to
-    ``in_memory_rows`` rows; larger ones are narrowed down to the cells of the
-    value range that hold the wanted ranks. That reads ``df`` three times, so give
-    it a stored table rather than raw lines. ``accuracy`` asks for the
-    constant-size sketch instead, whose results are values of the column.
+    Exact with linear interpolation by default. Copies of a value are counted first, so
+    a value that a third of the rows hold is one row from then on. The distinct values are
+    range-partitioned and stored once; partition sums tell which partitions hold the
+    wanted ranks, and only those are put in order, each in a task of its own.
+    ``accuracy`` asks for the constant-size sketch instead, whose results are values of
+    the column.
     """
-    ps = list(ps)
+    by, ps = list(by), list(ps)
     values = df.select(*by, F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
     if accuracy is not None:
         return values.groupBy(*by).agg(
             *[F.percentile_approx("v", p, accuracy).alias(percentile_name(p)) for p in ps]
         )
-    # Reads no further than one row past the bound.
-    if values.select().offset(in_memory_rows).isEmpty():
-        found = values.groupBy(*by).agg(F.percentile("v", ps).alias("found"))
-        return found.select(*by, *[F.col("found")[i].alias(percentile_name(p)) for i, p in enumerate(ps)])
-    return _percentiles_by_cell(values, list(by), ps)
-
-
-def _percentiles_by_cell(values: DataFrame, by: list[str], ps: list[float]) -> DataFrame:
-    # 1. Cut points of the whole column; equal values share a cell. They only have
-    #    to be roughly even, so sketches are merged in parts and then once more,
-    #    which keeps the last task from merging one sketch per input split.
-    steps = [i / PERCENTILE_CELLS for i in range(1, PERCENTILE_CELLS)]
-    sketch = F.percentile_approx("v", steps, 2 * PERCENTILE_CELLS).alias("cuts")
-    by_part = values.groupBy((F.spark_partition_id() % SKETCH_PARTS).alias("part")).agg(sketch)
-    cuts = by_part.select(F.explode("cuts").alias("v")).agg(sketch).first()["cuts"] or []
-    inner = sorted({cut for cut in cuts if cut == cut and abs(cut) != float("inf")})
-    if inner:
-        splits = [float("-inf"), *inner, float("inf")]
-        cells = Bucketizer(splits=splits, inputCol="v", outputCol="cell", handleInvalid="keep").transform(values)
-    else:
-        cells = values.withColumn("cell", F.lit(0.0))
-
-    # 2. Which cells of each group hold the wanted ranks. A group has at most
-    #    one row per cell here; the result is a few rows per group.
-    sizes = cells.groupBy(*by, "cell").agg(F.count("*").alias("size"))
+    counted = values.groupBy(*by, "v").agg(F.count("*").alias("n"))
+    # Partition numbers follow the order of the values within a group.
+    counts = materialise(counted.repartitionByRange(*by, "v").withColumn("part", F.spark_partition_id()))
+
+    # One row per partition and group that meet.
+    sums = counts.groupBy(*by, "part").agg(F.sum("n").alias("size"))
     group = Window.partitionBy(*by)
-    ordered = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = sizes.select(
-        *by,
-        "cell",
-        (F.sum("size").over(ordered) - F.col("size")).alias("before"),
-        F.col("size"),
-        F.sum("size").over(group).alias("total"),
-    )
+    before = F.coalesce(F.sum("size").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = sums.select(*by, "part", "size", before.alias("before"), F.sum("size").over(group).alias("total"))
 
     def position(p: float) -> Column:
         return F.lit(float(p)) * (F.col("total") - 1)
 
-    edges = [edge(position(p)) for p in ps for edge in (F.floor, F.ceil)]
     held = F.lit(False)
-    for rank in edges:
+    for rank in [edge(position(p)) for p in ps for edge in (F.floor, F.ceil)]:
         held = held | ((rank >= F.col("before")) & (rank < F.col("before") + F.col("size")))
-    targets = materialise(ranked.filter(held).drop("size"))
-
-    # 3. Only values of those cells, copies already combined, are put in order.
-    key = [*by, "cell"]
-    joined = cells.alias("c").join(
-        targets.alias("t"), [F.col(f"c.{name}").eqNullSafe(F.col(f"t.{name}")) for name in key]
-    )
-    counts = joined.groupBy(*[F.col(f"c.{name}") for name in key], "before", "total", "v").agg(
-        F.count("*").alias("n")
-    )
+    key = [*by, "part"]
+    targets = placed.filter(held).select(*[F.col(name).alias(f"_t_{name}") for name in key], "before", "total")
+    chosen = counts.join(targets, [F.col(name).eqNullSafe(F.col(f"_t_{name}")) for name in key])
     running = Window.partitionBy(*key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("end", F.col("before") + F.sum("n").over(running)).withColumn(
+    ranked = chosen.withColumn("end", F.col("before") + F.sum("n").over(running)).withColumn(
         "start", F.col("end") - F.col("n")
     )
 
@@ -239,7 +226,9 @@ def _percentiles_by_cell(values: DataFrame, by: list[str], ps: list[float]) -> D
     picks = []
     for i, p in enumerate(ps):
         picks += [at(F.floor(position(p))).alias(f"_lo{i}"), at(F.ceil(position(p))).alias(f"_hi{i}")]
-    found = placed.groupBy(*by).agg(F.max("total").alias("total"), *picks)
+    found = ranked.groupBy(*by).agg(F.max("total").alias("total"), *picks)
+    if not by:
+        found = found.filter("total IS NOT NULL")
 
     def interpolated(i: int, p: float) -> Column:
         low, high, fraction = F.col(f"_lo{i}"), F.col(f"_hi{i}"), position(p) - F.floor(position(p))

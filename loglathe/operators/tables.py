@@ -23,18 +23,18 @@ def search(
 def search_text(df: DataFrame, cols: Sequence[str], terms: Sequence[str] | str, match: str = "all") -> DataFrame:
     """Rows whose text columns hold all (or any) of the terms as whole words.
 
-    Words are runs of letters and digits, compared without regard to case.
+    Words are runs of letters and digits of any script, compared without regard to case.
     """
     if match not in ("all", "any"):
         raise ValueError(f"match must be all or any, not {match!r}")
     given = [terms] if isinstance(terms, str) else list(terms)
-    wanted = sorted({word for term in given for word in re.split(r"[^a-z0-9]+", term.lower()) if word})
+    wanted = sorted({word for term in given for word in re.split(r"[\W_]+", term.lower()) if word})
     if not wanted:
         raise ValueError("no search term given")
     text = F.lower(F.concat_ws(" ", *cols))
     # The substring test is cheap and rules out most rows before they are split.
     hits = [
-        F.contains(text, F.lit(word)) & F.array_contains(F.split(text, "[^a-z0-9]+"), word) for word in wanted
+        F.contains(text, F.lit(word)) & F.array_contains(F.split(text, r"[^\p{L}\p{N}\p{M}]+"), word) for word in wanted
     ]
     condition = hits[0]
     for hit in hits[1:]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,8 @@ from .. import store
 from ..functions.keys import document_id, with_message_key
 from ..session import materialise, scratch_dir
 from ..sources import decode_kafka, load_json_results, read_events, read_log_files
-from ..streaming import start_all, to_files, wait_all
+from ..store import paths
+from ..streaming import ANALYSES, start_all, status, stop, to_files, wait_all
 from . import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,10 +56,20 @@ def format_clf(spark, sf_dir):
 @query
 def log_files(spark, sf_dir):
     folder = f"{scratch_dir(spark)}/logs"
-    inputs.raw_lines(spark, sf_dir).select("raw_log").write.text(folder)
+    # Every seventh line is followed by a blank one, which reading leaves out.
+    blank = F.when(F.col("event_id") % 7 == 0, F.concat("raw_log", F.lit("\n \t "))).otherwise(F.col("raw_log"))
+    inputs.raw_lines(spark, sf_dir).select(blank.alias("value")).write.text(folder)
     return read_log_files(spark, folder)
 
 
+@query
+def max_lines(spark, sf_dir):
+    folder = f"{scratch_dir(spark)}/logs"
+    inputs.raw_lines(spark, sf_dir).select("raw_log").write.text(folder)
+    capped = read_log_files(spark, folder, max_lines=500)
+    return capped.agg(F.count("*").alias("line_count"))
+
+
 @query
 def message_key(spark, sf_dir):
     return with_message_key(inputs.raw_lines(spark, sf_dir))
@@ -94,6 +105,13 @@ def parse_null_timestamps(spark, sf_dir):
     return events.select("event_id", "ip", "remote_log_name", "remote_user", "timestamp", "status_code")
 
 
+@query
+def parse_bad_times_as_now(spark, sf_dir):
+    events = op.parse_clf(inputs.raw_lines(spark, sf_dir), on_bad_ts="now", keep=["event_id"])
+    age = F.unix_seconds(F.current_timestamp()) - F.unix_seconds("timestamp")
+    return events.select("event_id", (age.between(-3600, 3600)).alias("stamped_now"))
+
+
 @query
 def parse_combined(spark, sf_dir):
     return _parsed(spark, sf_dir, combined=True).select("ip", "timestamp", "url", "referrer", "agent")
@@ -132,6 +150,39 @@ def url_activity(spark, sf_dir):
     return op.url_activity(_parsed(spark, sf_dir))
 
 
+def _slices(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """Log files in one folder for each slice of time, below ``staged``: one read of the table."""
+    lines = inputs.raw_lines(spark, sf_dir)
+    first, last = lines.agg(F.min("timestamp"), F.max("timestamp")).select(
+        F.unix_micros("min(timestamp)"), F.unix_micros("max(timestamp)")
+    ).first()
+    step = (last - first) // STREAM_SLICES + 1
+    number = F.floor((F.unix_micros("timestamp") - F.lit(first)) / F.lit(step))
+    lines.select("raw_log", number.alias("slice")).write.partitionBy("slice").text(f"{base}/staged")
+
+
+def _deliver(spark: SparkSession, base: str, numbers: Iterable[int]) -> None:
+    """Let slices arrive in the folder that the stream reads."""
+    for number in numbers:
+        paths.move(spark, f"{base}/staged/slice={number}", f"{base}/logs/slice={number}")
+
+
+def _run(spark: SparkSession, base: str, analyses: Iterable[str], rejects: bool = False, **source) -> dict:
+    """Start the analyses on what has arrived, and wait until they have read it."""
+    lines = read_log_files(spark, f"{base}/logs", streaming=True, **source)
+    running = start_all(
+        op.parse_clf(lines),
+        f"{base}/tables",
+        f"{base}/checkpoints",
+        analyses=analyses,
+        available_now=True,
+        state_partitions=spark.sparkContext.defaultParallelism,
+        lines=lines if rejects else None,
+    )
+    wait_all(spark, running)
+    return running
+
+
 def _streamed(spark: SparkSession, sf_dir: str, analysis: str) -> DataFrame:
     """Log files that arrive in time order, through the stream into its table.
 
@@ -139,25 +190,10 @@ def _streamed(spark: SparkSession, sf_dir: str, analysis: str) -> DataFrame:
     form one batch, so the watermark never passes a line that is still to come.
     """
     base = scratch_dir(spark)
-    lines = inputs.raw_lines(spark, sf_dir)
-    first, last = lines.agg(F.min("timestamp"), F.max("timestamp")).select(
-        F.unix_micros("min(timestamp)"), F.unix_micros("max(timestamp)")
-    ).first()
-    step = (last - first) // STREAM_SLICES + 1
-    delivery = F.floor((F.unix_micros("timestamp") - F.lit(first)) / F.lit(step))
+    _slices(spark, sf_dir, base)
     for number in range(STREAM_SLICES):
-        part = lines.filter(delivery == number).select("raw_log")
-        part.write.mode("append").text(f"{base}/logs")
-        events = op.parse_clf(read_log_files(spark, f"{base}/logs", streaming=True, max_files_per_trigger=1_000_000))
-        running = start_all(
-            events,
-            f"{base}/tables",
-            f"{base}/checkpoints",
-            analyses=[analysis],
-            available_now=True,
-            state_partitions=spark.sparkContext.defaultParallelism,
-        )
-        wait_all(spark, running)
+        _deliver(spark, base, [number])
+        _run(spark, base, [analysis])
     return store.read_latest(spark, analysis, f"{base}/tables").drop("processed_at")
 
 
@@ -181,6 +217,65 @@ def url_stream(spark, sf_dir):
     return _streamed(spark, sf_dir, "url_analysis")
 
 
+@query
+def rejects_stream(spark, sf_dir):
+    base = scratch_dir(spark)
+    _slices(spark, sf_dir, base)
+    for number in range(STREAM_SLICES):
+        _deliver(spark, base, [number])
+        _run(spark, base, [], rejects=True)
+    return store.read_latest(spark, "rejects", f"{base}/tables").select("raw_log", "cause")
+
+
+@query
+def pipeline_stream(spark, sf_dir):
+    """The four analyses and the rejects as one job; rows and requests of each table."""
+    base = scratch_dir(spark)
+    _slices(spark, sf_dir, base)
+    _deliver(spark, base, range(STREAM_SLICES))
+    found = None
+    for name in _run(spark, base, ANALYSES, rejects=True):
+        table = store.read_latest(spark, name, f"{base}/tables")
+        requests = F.sum("request_count") if "request_count" in table.columns else F.count("*")
+        row = table.agg(F.count("*").alias("row_count"), requests.alias("requests"))
+        row = row.select(F.lit(name).alias("analysis"), "row_count", "requests")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+@query
+def late_rows(spark, sf_dir):
+    """The first slice of time arrives last: its windows are closed, so its lines are left out."""
+    base = scratch_dir(spark)
+    _slices(spark, sf_dir, base)
+    for numbers in (range(1, STREAM_SLICES), [0]):
+        _deliver(spark, base, numbers)
+        _run(spark, base, ["traffic_by_minute"])
+    return store.read_latest(spark, "traffic_by_minute", f"{base}/tables").drop("processed_at")
+
+
+@query
+def paced_stream(spark, sf_dir):
+    """One file per batch gives the rows of one batch."""
+    base = scratch_dir(spark)
+    _slices(spark, sf_dir, base)
+    _deliver(spark, base, range(STREAM_SLICES))
+    _run(spark, base, ["error_logs"], max_files_per_trigger=1)
+    return store.read_latest(spark, "error_logs", f"{base}/tables").drop("processed_at")
+
+
+@query
+def stream_status(spark, sf_dir):
+    """Status of a job that has read everything in one batch; then nothing runs any more."""
+    base = scratch_dir(spark)
+    _slices(spark, sf_dir, base)
+    _deliver(spark, base, range(STREAM_SLICES))
+    queries = _run(spark, base, ["error_logs"])
+    rows = status(spark, list(queries.values()), f"{base}/tables")
+    stopped = stop(queries.values())
+    return rows.select("name", "active", "batch_id", "input_rows", "refused_rows", F.lit(stopped).cast("bigint").alias("stopped"))
+
+
 @query
 def stored_events(spark, sf_dir):
     base = scratch_dir(spark)
@@ -203,6 +298,46 @@ def append_errors(spark, sf_dir):
     return store.read_latest(spark, "error_logs", root).drop("processed_at")
 
 
+def _misfits(errors: DataFrame) -> DataFrame:
+    """Every 403 gets a status that is no number."""
+    status_code = F.when(F.col("status_code") == 403, "forbidden").otherwise(F.col("status_code").cast("string"))
+    return errors.withColumn("status_code", status_code)
+
+
+@query
+def append_counts(spark, sf_dir):
+    """Rows written and refused, as reported and as found; each stored row is stamped."""
+    root = scratch_dir(spark)
+    result = store.append_rows(_misfits(op.error_events(_parsed(spark, sf_dir))), "error_logs", root)
+    found = store.read_latest(spark, "error_logs", root).agg(
+        F.count("*").alias("stored"), F.count("processed_at").alias("stamped")
+    )
+    refused = store.read_refused(spark, "error_logs", root).agg(F.count("*").alias("kept"))
+    counts = [F.lit(n).cast("bigint").alias(name) for n, name in zip(result, ("written", "failed"), strict=True)]
+    return found.join(refused).select(*counts, "stored", "stamped", "kept")  # one row each
+
+
+@query
+def refused_rows(spark, sf_dir):
+    root = scratch_dir(spark)
+    store.append_rows(_misfits(op.error_events(_parsed(spark, sf_dir))), "error_logs", root)
+    document = F.from_json("document", "ip string, url string, status_code string")
+    return store.read_refused(spark, "error_logs", root).select(document.alias("d")).select("d.*")
+
+
+@query
+def drop_table(spark, sf_dir):
+    """Rows before the drop, what dropping twice says, and rows after it."""
+    root = scratch_dir(spark)
+    store.append_rows(op.error_events(_parsed(spark, sf_dir)), "error_logs", root)
+    rows = store.read_latest(spark, "error_logs", root).count()
+    dropped = [store.drop_table(spark, root, "error_logs") for _ in range(2)]
+    after = store.read_latest(spark, "error_logs", root).agg(F.count("*").alias("rows_after"))
+    return after.select(
+        F.lit(rows).cast("bigint").alias("rows_before"), F.lit(dropped[0]).alias("dropped"), F.lit(dropped[1]).alias("dropped_again"), "rows_after"
+    )
+
+
 @query
 def table_compaction(spark, sf_dir):
     root = scratch_dir(spark)
@@ -213,14 +348,28 @@ def table_compaction(spark, sf_dir):
     store.append_rows(op.traffic(events), "traffic_by_minute", root)
     store.compact(spark, "traffic_by_minute", root)
     store.vacuum(spark, "traffic_by_minute", root)
+    # A second batch in one day rewrites that day alone; a third stays beside the compacted days.
+    for day in ("2024-01-03", "2024-01-04"):
+        store.append_rows(op.traffic(events.filter(F.to_date("timestamp") == day)), "traffic_by_minute", root)
+        if day == "2024-01-03":
+            store.compact(spark, "traffic_by_minute", root)
     return store.read_latest(spark, "traffic_by_minute", root).drop("processed_at")
 
 
+@query
+def table_days(spark, sf_dir):
+    """Three days of a compacted table: only their folders are read."""
+    root = scratch_dir(spark)
+    store.append_rows(op.traffic(_parsed(spark, sf_dir)), "traffic_by_minute", root)
+    store.compact(spark, "traffic_by_minute", root)
+    return store.read_latest(spark, "traffic_by_minute", root, since="2024-01-05", until="2024-01-07").drop("processed_at")
+
+
 @query
 def json_table(spark, sf_dir):
     root = scratch_dir(spark)
     store.append_rows(op.url_activity(_parsed(spark, sf_dir)), "url_analysis", root, fmt="json")
-    return store.read_latest(spark, "url_analysis", root, fmt="json").drop("processed_at")
+    return store.read_latest(spark, "url_analysis", root).drop("processed_at")
 
 
 @query
@@ -266,6 +415,14 @@ def search_text(spark, sf_dir):
     return op.search_text(events, ["url", "agent"], "Firefox purchase").select("ip", "timestamp", "url", "agent")
 
 
+@query
+def search_text_scripts(spark, sf_dir):
+    """Words beyond ASCII: a Cyrillic section on every fifth event."""
+    events = _parsed(spark, sf_dir)
+    section = F.when(F.col("url").endswith("5"), F.concat(F.lit("/Новости/Café"), "url")).otherwise(F.col("url"))
+    return op.search_text(events.withColumn("url", section), ["url"], "новости café").select("ip", "timestamp", "url")
+
+
 @query
 def table_stats(spark, sf_dir):
     return op.table_stats(op.error_events(_parsed(spark, sf_dir)), "timestamp")
@@ -335,6 +492,12 @@ def spikes(spark, sf_dir):
     return op.spikes(_parsed(spark, sf_dir), z=2.0)
 
 
+@query
+def spikes_with_gaps(spark, sf_dir):
+    """Minutes without traffic count as zero."""
+    return op.spikes(_parsed(spark, sf_dir), width="1 minute", lookback=30, z=3.0, fill_gaps=True)
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     return df.select("status_code", *[F.round(c, 6).alias(c) for c in df.columns if c != "status_code"])
 
@@ -349,10 +512,11 @@ def value_percentiles(spark, sf_dir):
     return _rounded(op.value_percentiles(_sizes(spark, sf_dir), "content_size", ["status_code"], PERCENTS))
 
 
+# Both have always had the same SQL; there is one way now, at any size.
 @query
 def value_percentiles_by_cell(spark, sf_dir):
     sizes = _sizes(spark, sf_dir)
-    return _rounded(op.value_percentiles(sizes, "content_size", ["status_code"], PERCENTS, in_memory_rows=0))
+    return _rounded(op.value_percentiles(sizes, "content_size", ["status_code"], PERCENTS))
 
 
 @query

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ..functions.agents import BROWSERS, DEVICES
 from ..functions.clf import CLF_PATTERN
 from .inputs import AGENTS, OFFSETS
 
@@ -11,9 +10,12 @@ def _case(index: str, texts: list[str]) -> str:
     return f"CASE {index} % {len(texts)} " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(texts)) + " END"
 
 
-def _classes(classes) -> str:
-    cases = " ".join(f"WHEN regexp_matches(agent, '{pattern}') THEN '{label}'" for label, pattern in classes)
-    return f"CASE WHEN agent IS NULL THEN 'None' {cases} ELSE 'Other' END"
+# The agents of the test lines, in order, with the classes a person would give them.
+_AGENT_CLASSES = [("Chrome", "Desktop"), ("Firefox", "Desktop"), ("Safari", "Mobile"), ("Bot", "Bot"), ("None", "None")]
+
+
+def _class(index: int) -> str:
+    return _case("user_id", [classes[index] for classes in _AGENT_CLASSES])
 
 
 _LINES = f"""
@@ -48,9 +50,9 @@ matched AS (
   SELECT event_id, ts AS arrived, raw_log, f.ip AS ip, f.log_name AS log_name, f.user_name AS user_name,
     try_strptime(f.ts_text[1:20], '%d/%b/%Y:%H:%M:%S') AS wall_clock,
     f.ts_text[22:26] AS zone,
-    regexp_extract(f.request, '^(\\S+)', 1) AS method,
-    regexp_extract(f.request, '^\\S+\\s+(\\S+)', 1) AS url,
-    regexp_extract(f.request, '^\\S+\\s+\\S+\\s+(\\S+)', 1) AS protocol,
+    coalesce(string_split_regex(f.request, '\\s+')[1], '') AS method,
+    coalesce(string_split_regex(f.request, '\\s+')[2], '') AS url,
+    coalesce(string_split_regex(f.request, '\\s+')[3], '') AS protocol,
     TRY_CAST(f.status AS INTEGER) AS status_code,
     CASE WHEN f.size = '-' THEN 0 ELSE TRY_CAST(f.size AS BIGINT) END AS content_size,
     nullif(nullif(regexp_extract(raw_log, '"([^"]*)" "([^"]*)"$', 1), ''), '-') AS referrer,
@@ -84,6 +86,9 @@ _URLS = """
 SELECT time_bucket(INTERVAL '2 minutes', timestamp) AS window_start, url, count(*) AS request_count,
   'url_analysis' AS log_type
 FROM parsed GROUP BY 1, 2"""
+_REJECTS = """
+SELECT raw_log, 'no_match' AS cause FROM fields WHERE f.ip = ''
+UNION ALL SELECT raw_log, 'bad_timestamp' AS cause FROM matched WHERE wall_clock IS NULL"""
 _PERCENTILES = """
 SELECT status_code, round(quantile_cont(content_size, 0.5), 6) AS p50,
   round(quantile_cont(content_size, 0.9), 6) AS p90, round(quantile_cont(content_size, 0.99), 6) AS p99
@@ -104,6 +109,7 @@ SELECT event_id, ip || ' - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000]
   ' HTTP/1.1" ' || status || ' ' || size AS raw_log
 FROM requests"""),
     "log_files": _with("SELECT raw_log FROM lines"),
+    "max_lines": _with("SELECT least(500, count(*)) AS line_count FROM lines"),
     "message_key": _with(r"""
 SELECT coalesce(nullif(regexp_extract(raw_log, '^(\d+\.\d+\.\d+\.\d+)', 1), ''), 'unknown') AS key,
   raw_log AS value
@@ -120,10 +126,9 @@ FROM parsed"""),
     "parse_null_timestamps": _with("""
 SELECT event_id, ip, log_name AS remote_log_name, user_name AS remote_user, wall_clock AS timestamp, status_code
 FROM matched"""),
+    "parse_bad_times_as_now": _with("SELECT event_id, wall_clock IS NULL AS stamped_now FROM matched"),
     "parse_combined": _with("SELECT ip, timestamp, url, referrer, agent FROM parsed", combined=True),
-    "rejects": _with("""
-SELECT raw_log, 'no_match' AS cause FROM fields WHERE f.ip = ''
-UNION ALL SELECT raw_log, 'bad_timestamp' AS cause FROM matched WHERE wall_clock IS NULL"""),
+    "rejects": _with(_REJECTS),
     "reject_counts": _with("""
 SELECT cause, count(*) AS line_count FROM (
   SELECT 'no_match' AS cause FROM fields WHERE f.ip = ''
@@ -137,10 +142,39 @@ SELECT cause, count(*) AS line_count FROM (
     "traffic_stream": _with(_TRAFFIC),
     "ip_stream": _with(_IPS),
     "url_stream": _with(_URLS),
+    "rejects_stream": _with(_REJECTS),
+    "pipeline_stream": _with(f"""
+SELECT 'error_logs' AS analysis, count(*) AS row_count, count(*) AS requests FROM ({_ERRORS})
+UNION ALL SELECT 'traffic_by_minute', count(*), sum(request_count)::BIGINT FROM ({_TRAFFIC})
+UNION ALL SELECT 'top_ips', count(*), sum(request_count)::BIGINT FROM ({_IPS})
+UNION ALL SELECT 'url_analysis', count(*), sum(request_count)::BIGINT FROM ({_URLS})
+UNION ALL SELECT 'rejects', count(*), count(*) FROM ({_REJECTS})"""),
+    "late_rows": _with("""
+SELECT date_trunc('minute', timestamp) AS minute, count(*) AS request_count, 'traffic' AS log_type
+FROM parsed, (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events) AS span
+WHERE (epoch_us(arrived) - low) // ((high - low) // 3 + 1) >= 1
+GROUP BY 1"""),
+    "paced_stream": _with(_ERRORS),
+    "stream_status": _with("""
+SELECT 'error_logs' AS name, false AS active, 0::BIGINT AS batch_id, count(*) AS input_rows, 0::BIGINT AS refused_rows,
+  0::BIGINT AS stopped
+FROM lines"""),
     "stored_events": _with("""
 SELECT ip, timestamp, method, url, protocol, status_code, content_size, raw_log FROM parsed"""),
     "append_errors": _with(_ERRORS),
+    "append_counts": _with("""
+SELECT count(*) FILTER (status_code <> 403) AS written, count(*) FILTER (status_code = 403) AS failed,
+  count(*) FILTER (status_code <> 403) AS stored, count(*) FILTER (status_code <> 403) AS stamped,
+  count(*) FILTER (status_code = 403) AS kept
+FROM parsed WHERE status_code >= 400"""),
+    "refused_rows": _with("SELECT ip, url, 'forbidden' AS status_code FROM parsed WHERE status_code = 403"),
+    "drop_table": _with("""
+SELECT count(*) AS rows_before, true AS dropped, false AS dropped_again, 0::BIGINT AS rows_after
+FROM parsed WHERE status_code >= 400"""),
     "table_compaction": _with(_TRAFFIC),
+    "table_days": _with("""
+SELECT date_trunc('minute', timestamp) AS minute, count(*) AS request_count, 'traffic' AS log_type
+FROM parsed WHERE CAST(timestamp AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-07' GROUP BY 1"""),
     "json_table": _with(_URLS),
     "json_results": _with(_ERRORS),
     "document_ids": _with(f"""
@@ -163,6 +197,8 @@ ORDER BY timestamp DESC, ip, url LIMIT 100"""),
 SELECT ip, timestamp, url, agent FROM (
   SELECT *, string_split_regex(lower(concat_ws(' ', url, agent)), '[^a-z0-9]+') AS words FROM parsed
 ) WHERE list_contains(words, 'firefox') AND list_contains(words, 'purchase')""", combined=True),
+    "search_text_scripts": _with("""
+SELECT ip, timestamp, '/Новости/Café' || url AS url FROM parsed WHERE url LIKE '%5'"""),
     "table_stats": _with("""
 SELECT count(*) AS row_count, min(timestamp) AS first_time, max(timestamp) AS last_time
 FROM parsed WHERE status_code >= 400"""),
@@ -197,8 +233,8 @@ SELECT CAST(dayofweek(timestamp) + 1 AS INTEGER) AS weekday, CAST(hour(timestamp
   count(*) AS request_count
 FROM parsed GROUP BY 1, 2"""),
     "agent_stats": _with(f"""
-SELECT {_classes(BROWSERS)} AS browser, {_classes(DEVICES)} AS device, count(*) AS request_count
-FROM parsed GROUP BY 1, 2""", combined=True),
+SELECT {_class(0)} AS browser, {_class(1)} AS device, count(*) AS request_count
+FROM parsed JOIN requests USING (event_id) GROUP BY 1, 2""", combined=True),
     "referrer_stats": _with("""
 SELECT lower(regexp_extract(referrer, '^https://([^/]+)', 1)) AS referrer_host, count(*) AS request_count
 FROM parsed GROUP BY 1""", combined=True),
@@ -213,6 +249,23 @@ FROM (
     WINDOW w AS (ORDER BY window_start ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)
   )
 ) WHERE n >= 24 AND request_count > mean + 2 * deviation"""),
+    "spikes_with_gaps": _with("""
+SELECT window_start, request_count, round(mean, 6) AS baseline, round(mean + 3 * deviation, 6) AS threshold
+FROM (
+  SELECT window_start, request_count, n, s::DOUBLE / n AS mean, sqrt((q * n - s * s)::DOUBLE) / n AS deviation
+  FROM (
+    SELECT window_start, request_count, count(*) OVER w AS n, sum(request_count) OVER w AS s,
+      sum(request_count * request_count) OVER w AS q
+    FROM (
+      SELECT minute AS window_start, coalesce(request_count, 0) AS request_count
+      FROM (SELECT unnest(generate_series(min(date_trunc('minute', timestamp)), max(date_trunc('minute', timestamp)),
+              INTERVAL 1 MINUTE)) AS minute FROM parsed)
+      LEFT JOIN (SELECT date_trunc('minute', timestamp) AS minute, count(*) AS request_count FROM parsed GROUP BY 1)
+        USING (minute)
+    )
+    WINDOW w AS (ORDER BY window_start ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
+  )
+) WHERE n >= 30 AND request_count > mean + 3 * deviation"""),
     "value_percentiles": _with(_PERCENTILES),
     "value_percentiles_by_cell": _with(_PERCENTILES),
     "locate": _with("""

@@ -1,4 +1,4 @@
-"""Schemas of the parsed events and of the four result tables."""
+"""Schemas of the parsed events and of the result tables."""
 
 from __future__ import annotations
 
@@ -103,6 +103,18 @@ TABLES: dict[str, ResultTable] = {
         time_col="window_start",
         output_mode="update",
     ),
+    "rejects": ResultTable(
+        name="web-logs-rejects",
+        schema=_struct(
+            raw_log=StringType(),
+            kafka_timestamp=TimestampType(),
+            cause=StringType(),
+            processed_at=TimestampType(),
+        ),
+        keys=(),
+        time_col="processed_at",
+        output_mode="append",
+    ),
 }
 
 

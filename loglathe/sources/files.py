@@ -32,7 +32,10 @@ def read_log_files(
     else:
         reader = spark.read
     lines = reader.text(path).select(strip(F.col("value")).alias("raw_log")).filter(F.col("raw_log") != "")
-    return lines.limit(max_lines) if max_lines else lines
+    if not max_lines:
+        return lines
+    # The cap ends in one partition; what follows it gets all cores again.
+    return lines.limit(max_lines).repartition(spark.sparkContext.defaultParallelism)
 
 
 def read_events(

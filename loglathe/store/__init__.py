@@ -9,6 +9,7 @@ from .tables import (
     expire,
     last_batch,
     read_latest,
+    read_refused,
     table_path,
     vacuum,
     write_batch,
@@ -23,6 +24,7 @@ __all__ = [
     "expire",
     "last_batch",
     "read_latest",
+    "read_refused",
     "table_path",
     "vacuum",
     "write_batch",

@@ -3,21 +3,26 @@
 Layout below the root of a store::
 
     <table>/batches/batch_id=<n>/        rows of one batch
-    <table>/compact/upto=<m>/dt=<day>/   newest rows of all batches up to m
-    <table>/_query_id                    the stream that feeds the table
+    <table>/refused/batch_id=<n>/        rows of the batch with a value that does not fit, as JSON
+    <table>/compact/upto=<m>/dt=<day>/   newest rows of the days that batches up to m have touched
+    <table>/manifests/<m>                for each day, the upto of its live folder
+    <table>/claims/<n>                   a batch number that a writer has taken
+    <table>/_format, <table>/_query_id   file format; the stream that feeds the table
 
 A batch is written with overwrite into its own folder, so a replay replaces it.
-A folder counts once it holds ``_SUCCESS``.
+A folder counts once it holds ``_SUCCESS``, a compaction once it has its manifest.
 """
 
 from __future__ import annotations
 
+import json
+import logging
 from datetime import date, datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import DateType, LongType, StructType
 
 from ..functions.keys import stamp
 from ..operators.tables import latest_per_key, retain
@@ -26,6 +31,9 @@ from . import paths
 
 FILE_FORMATS = ("parquet", "orc", "json")
 NO_BATCH = -1
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+log = logging.getLogger(__name__)
 
 
 class WriteResult(NamedTuple):
@@ -47,6 +55,33 @@ def _batches(root: str, analysis: str) -> str:
     return f"{table_path(root, analysis)}/batches"
 
 
+def _refused(root: str, analysis: str) -> str:
+    return f"{table_path(root, analysis)}/refused"
+
+
+def _manifests(root: str, analysis: str) -> str:
+    return f"{table_path(root, analysis)}/manifests"
+
+
+def _manifest(spark: SparkSession, root: str, analysis: str) -> tuple[int, dict[str, int]] | None:
+    """The newest compaction: its last batch, and where each day lives. One entry per day."""
+    done = paths.numbered_files(spark, _manifests(root, analysis))
+    if not done:
+        return None
+    text = paths.read_text(spark, f"{_manifests(root, analysis)}/{done[-1]}")
+    return done[-1], {day: upto for day, upto in json.loads(text).items()}
+
+
+def _table_format(spark: SparkSession, root: str, analysis: str, fmt: str | None) -> str:
+    """The table's file format: the recorded one, which a given one must equal."""
+    recorded = paths.read_text(spark, f"{table_path(root, analysis)}/_format")
+    if fmt is not None and fmt not in FILE_FORMATS:
+        raise ValueError(f"format must be one of {FILE_FORMATS}, not {fmt!r}")
+    if recorded and fmt and fmt != recorded:
+        raise ValueError(f"table {analysis} is stored as {recorded}, not {fmt}")
+    return recorded or fmt or "parquet"
+
+
 def _owner_file(root: str, analysis: str) -> str:
     return f"{table_path(root, analysis)}/_query_id"
 
@@ -63,10 +98,9 @@ def set_owner(spark: SparkSession, root: str, analysis: str, query_id: str) -> N
 def ensure_tables(spark: SparkSession, root: str) -> list[str]:
     """Create the tables that do not exist yet; returns their analyses."""
     created = []
-    for analysis, table in TABLES.items():
-        if not paths.numbered(spark, _compacts(root, analysis), "upto"):
-            empty = spark.createDataFrame([], _stored_schema(table))
-            empty.write.mode("overwrite").parquet(f"{_compacts(root, analysis)}/upto={NO_BATCH}")
+    for analysis in TABLES:
+        if _manifest(spark, root, analysis) is None:
+            paths.write_text(spark, f"{_manifests(root, analysis)}/{NO_BATCH}", "{}")
             created.append(analysis)
     return created
 
@@ -83,21 +117,22 @@ def _stored_schema(table: ResultTable) -> StructType:
 def last_batch(spark: SparkSession, root: str, analysis: str) -> int:
     """Number of the newest finished batch, -1 before the first."""
     known = paths.numbered(spark, _batches(root, analysis), "batch_id")
-    known += paths.numbered(spark, _compacts(root, analysis), "upto")
+    known += paths.numbered_files(spark, _manifests(root, analysis))
     return max(known, default=NO_BATCH)
 
 
 def write_batch(
-    df: DataFrame, analysis: str, root: str, batch_id: int, mode: str = "overwrite", fmt: str = "parquet"
+    df: DataFrame, analysis: str, root: str, batch_id: int, mode: str = "overwrite", fmt: str | None = None
 ) -> WriteResult:
     """Write one batch in a single execution of ``df``.
 
-    Columns are cast to the table's types. A row with a value that does not fit is
-    counted and left out. A batch without rows leaves no folder.
+    Columns are cast to the table's types. Rows with a value that does not fit are
+    counted, logged and kept beside the table (:func:`read_refused`), which costs a
+    second execution for such a batch only. A batch without rows leaves no folder.
     """
-    if fmt not in FILE_FORMATS:
-        raise ValueError(f"format must be one of {FILE_FORMATS}, not {fmt!r}")
+    spark = df.sparkSession
     table = table_for(analysis)
+    fmt = _table_format(spark, root, analysis, fmt)
     stamped = stamp(df)
     fits = F.lit(True)
     for field in table.schema.fields:
@@ -112,48 +147,69 @@ def write_batch(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in table.schema.fields]
     )
     folder = f"{_batches(root, analysis)}/batch_id={batch_id}"
-    rows.write.mode(mode).format(fmt).save(folder)
+    # One file per task would leave as many small files as there are state partitions.
+    rows.hint("rebalance").write.mode(mode).format(fmt).save(folder)
     counts = outcome.get
     result = WriteResult(counts["written"], counts["failed"])
     if result.written == 0:
-        paths.delete(df.sparkSession, folder)
+        paths.delete(spark, folder)
+    else:
+        paths.write_text(spark, f"{table_path(root, analysis)}/_format", fmt)
+    refused = f"{_refused(root, analysis)}/batch_id={batch_id}"
+    if result.failed:
+        log.warning("%s: %d rows of batch %d do not fit the table", analysis, result.failed, batch_id)
+        misfits = stamped.filter(~fits).select(F.to_json(F.struct("*")).alias("document"))
+        misfits.write.mode("overwrite").text(refused)
+    elif mode == "overwrite":
+        paths.delete(spark, refused)
     return result
 
 
-def append_rows(df: DataFrame, analysis: str, root: str, fmt: str = "parquet") -> WriteResult:
+def read_refused(spark: SparkSession, analysis: str, root: str) -> DataFrame:
+    """Rows that :func:`write_batch` could not store: ``document`` (JSON) and ``batch_id``."""
+    if not paths.numbered(spark, _refused(root, analysis), "batch_id"):
+        return spark.createDataFrame([], "document string, batch_id bigint")
+    return spark.read.schema("document string, batch_id bigint").text(_refused(root, analysis))
+
+
+def append_rows(df: DataFrame, analysis: str, root: str, fmt: str | None = None) -> WriteResult:
     """Add rows to a table that no stream feeds.
 
-    In a keyed table they replace older rows of the same key.
+    In a keyed table they replace older rows of the same key. The batch number is
+    claimed by creating a file that must not exist, so of two writers each gets its
+    own (as far as the file system creates files atomically). A number whose write
+    failed stays unused.
     """
     spark = df.sparkSession
     if owner(spark, root, analysis):
         raise ValueError(f"{analysis} is fed by a stream; its batches are numbered by that stream")
-    number = last_batch(spark, root, analysis) + 1
-    # Two writers that pick the same number must not overwrite each other.
+    claims = f"{table_path(root, analysis)}/claims"
+    taken = paths.numbered(spark, _batches(root, analysis), "batch_id", finished=False)
+    number = max([last_batch(spark, root, analysis), *taken, *paths.numbered_files(spark, claims)]) + 1
+    while not paths.create_new(spark, f"{claims}/{number}"):
+        number += 1
     return write_batch(df, analysis, root, number, mode="error", fmt=fmt)
 
 
-def _versions(spark: SparkSession, root: str, analysis: str, upto: int | None, fmt: str) -> DataFrame:
-    """All stored rows with their batch number, from finished folders only."""
-    table = table_for(analysis)
-    schema = _stored_schema(table)
-    base = max(paths.numbered(spark, _compacts(root, analysis), "upto"), default=None)
-    finished = paths.numbered(spark, _batches(root, analysis), "batch_id")
-    newest = max(finished, default=NO_BATCH)
-    if upto is not None:
-        newest = min(newest, upto)
-    frames = []
-    if base is not None:
-        compact = spark.read.schema(schema).parquet(f"{_compacts(root, analysis)}/upto={base}")
-        frames.append(compact.select(*schema.names))
-    after = NO_BATCH if base is None else base
-    if newest > after:
-        # batch_id comes from the folder name, so the filter prunes folders.
-        batches = spark.read.schema(schema).format(fmt).load(_batches(root, analysis))
-        frames.append(batches.filter(F.col("batch_id").between(after + 1, newest)).select(*schema.names))
-    if not frames:
-        return spark.createDataFrame([], schema)
-    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+def _batch_rows(spark: SparkSession, root: str, analysis: str, after: int, upto: int | None, fmt: str | None) -> DataFrame | None:
+    """Rows of the finished batches after ``after``, with their number."""
+    schema = _stored_schema(table_for(analysis))
+    numbers = [n for n in paths.numbered(spark, _batches(root, analysis), "batch_id") if n > after and (upto is None or n <= upto)]
+    if not numbers:
+        return None
+    parent = _batches(root, analysis)
+    reader = spark.read.schema(schema).format(_table_format(spark, root, analysis, fmt)).option("basePath", parent)
+    return reader.load([f"{parent}/batch_id={n}" for n in numbers]).select(*schema.names)
+
+
+def _day_rows(spark: SparkSession, root: str, analysis: str, live: dict[str, int]) -> DataFrame | None:
+    """Compacted rows of the days in ``live``, with ``dt`` and the batch number ``upto``."""
+    table, parent = table_for(analysis), _compacts(root, analysis)
+    if not live:
+        return None
+    schema = StructType([*table.schema.fields]).add("upto", LongType()).add("dt", DateType())
+    rows = spark.read.schema(schema).option("basePath", parent).parquet(*[f"{parent}/upto={n}/dt={day}" for day, n in sorted(live.items())])
+    return rows.select(*table.schema.names, F.col("upto").alias("batch_id"), "dt")
 
 
 def _newest(rows: DataFrame, table: ResultTable) -> DataFrame:
@@ -163,12 +219,52 @@ def _newest(rows: DataFrame, table: ResultTable) -> DataFrame:
     return latest_per_key(rows, table.keys, [F.desc("batch_id"), F.desc("request_count"), F.desc("processed_at")])
 
 
+def _as_date(day: date | str | None) -> date | None:
+    return date.fromisoformat(day) if isinstance(day, str) else day
+
+
 def read_latest(
-    spark: SparkSession, analysis: str, root: str, upto: int | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    analysis: str,
+    root: str,
+    upto: int | None = None,
+    fmt: str | None = None,
+    since: date | str | None = None,
+    until: date | str | None = None,
 ) -> DataFrame:
-    """The current rows of a table: of each key only the newest version."""
-    table = table_for(analysis)
-    return _newest(_versions(spark, root, analysis, upto, fmt), table).select(*table.schema.names)
+    """The current rows of a table: of each key only the newest version.
+
+    ``since`` and ``until`` (days, inclusive) limit the rows by the table's time; of the
+    compacted days only their folders are listed and read. Compacted keys are unique, so
+    only rows of later batches are ranked, and compacted rows just give way to them.
+    """
+    table, names = table_for(analysis), table_for(analysis).schema.names
+    since, until = _as_date(since), _as_date(until)
+    after, live = _manifest(spark, root, analysis) or (NO_BATCH, {})
+    day = F.to_date(table.time_col)
+    if since or until:
+        within = lambda d: d != NO_DAY and (not since or d >= since.isoformat()) and (not until or d <= until.isoformat())
+        live = {d: n for d, n in live.items() if within(d)}
+
+    def limited(rows: DataFrame, column: Column) -> DataFrame:
+        if since:
+            rows = rows.filter(column >= F.lit(since))
+        return rows.filter(column <= F.lit(until)) if until else rows
+
+    old = _day_rows(spark, root, analysis, live)
+    new = _batch_rows(spark, root, analysis, after, upto, fmt)
+    if old is not None:
+        old = limited(old, F.col("dt")).select(*names)
+    if new is not None:
+        new = _newest(limited(new, day), table).select(*names)
+    if old is None or new is None:
+        found = old if new is None else new
+        return spark.createDataFrame([], table.schema) if found is None else found
+    if table.keys:
+        replaced = new.select(*[F.col(k).alias(f"_new_{k}") for k in table.keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in table.keys]
+        old = old.join(replaced, same, "left_anti")
+    return old.unionByName(new)
 
 
 def compact(
@@ -177,27 +273,36 @@ def compact(
     root: str,
     retain_days: int | None = None,
     as_of: datetime | date | str | None = None,
-    fmt: str = "parquet",
+    fmt: str | None = None,
 ) -> int:
-    """Fold all finished batches into one folder, partitioned by day.
+    """Fold all finished batches into day folders; only days they touch are written anew.
 
     Returns the number of the last batch folded in. ``retain_days`` drops older
-    rows on the way, or whole old days if there is no new batch. Readers keep working: the new folder counts once it is
-    complete, and the old ones stay until :func:`vacuum`.
+    rows of the rewritten days on the way, and whole old days. Readers keep working: a
+    compaction counts once its manifest is there, and the old folders stay until
+    :func:`vacuum`. A key lies in one day, as keys hold the time of their window.
     """
     table = table_for(analysis)
     number = last_batch(spark, root, analysis)
-    if number in paths.numbered(spark, _compacts(root, analysis), "upto"):
+    after, live = _manifest(spark, root, analysis) or (NO_BATCH, {})
+    new = _batch_rows(spark, root, analysis, after, number, fmt)
+    if new is not None:
+        day = F.coalesce(F.to_date(table.time_col).cast("string"), F.lit(NO_DAY))
+        touched = {r["day"] for r in new.select(day.alias("day")).distinct().collect()}  # days, not rows
+        old = _day_rows(spark, root, analysis, {d: n for d, n in live.items() if d in touched})
+        rows = new if old is None else old.select(*new.columns).unionByName(new)
+        rows = _newest(rows, table).select(*table.schema.names)
         if retain_days is not None:
-            expire(spark, analysis, root, retain_days, as_of)
-        return number
-    rows = _newest(_versions(spark, root, analysis, number, fmt), table)
+            rows = retain(rows, table.time_col, retain_days, as_of)
+        target = f"{_compacts(root, analysis)}/upto={number}"
+        # Rebalancing splits a busy day over several tasks and files.
+        by_day = rows.withColumn("dt", F.to_date(table.time_col)).hint("rebalance", "dt")
+        by_day.write.mode("overwrite").partitionBy("dt").parquet(target)
+        written = set(paths.days(spark, target))
+        live = {d: n for d, n in live.items() if d not in touched} | {d: number for d in written}
+        paths.write_text(spark, f"{_manifests(root, analysis)}/{number}", json.dumps(live))
     if retain_days is not None:
-        rows = retain(rows, table.time_col, retain_days, as_of)
-    target = f"{_compacts(root, analysis)}/upto={number}"
-    # Rebalancing splits a busy day over several tasks and files.
-    by_day = rows.withColumn("dt", F.to_date(table.time_col)).hint("rebalance", "dt")
-    by_day.write.mode("overwrite").partitionBy("dt").parquet(target)
+        expire(spark, analysis, root, retain_days, as_of)
     return number
 
 
@@ -208,28 +313,40 @@ def expire(
 
     Only folders are removed, no data is read. Returns their number.
     """
-    number = max(paths.numbered(spark, _compacts(root, analysis), "upto"), default=None)
-    if number is None:
+    newest = _manifest(spark, root, analysis)
+    if newest is None:
         return 0
+    number, live = newest
     moment = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     oldest = spark.range(1).select(F.to_date(moment - F.make_dt_interval(F.lit(days))).alias("d")).first()["d"]
-    folder = f"{_compacts(root, analysis)}/upto={number}"
-    old = [day for day in paths.days(spark, folder) if day < oldest.isoformat()]
+    old = [day for day in live if day != NO_DAY and day < oldest.isoformat()]
+    if old:
+        # First out of sight, then away.
+        paths.write_text(spark, f"{_manifests(root, analysis)}/{number}", json.dumps({d: n for d, n in live.items() if d not in old}))
     for day in old:
-        paths.delete(spark, f"{folder}/dt={day}")
+        paths.delete(spark, f"{_compacts(root, analysis)}/upto={live[day]}/dt={day}")
     return len(old)
 
 
 def vacuum(spark: SparkSession, analysis: str, root: str) -> int:
-    """Delete folders that the newest compacted one replaces; returns their number."""
-    compacted = paths.numbered(spark, _compacts(root, analysis), "upto")
-    if not compacted:
+    """Delete folders that compaction has replaced; returns their number."""
+    newest = _manifest(spark, root, analysis)
+    if newest is None:
         return 0
-    newest = compacted[-1]
-    old = [f"{_compacts(root, analysis)}/upto={n}" for n in compacted[:-1]]
+    number, live = newest
+    old = []
+    for upto in paths.numbered(spark, _compacts(root, analysis), "upto", finished=False):
+        folder = f"{_compacts(root, analysis)}/upto={upto}"
+        days = paths.days(spark, folder)
+        dead = [day for day in days if live.get(day) != upto]
+        # A folder beyond the manifest may belong to a compaction that still runs.
+        if upto <= number:
+            old += [folder] if len(dead) == len(days) else [f"{folder}/dt={day}" for day in dead]
     old += [
         f"{_batches(root, analysis)}/batch_id={n}"
         for n in paths.numbered(spark, _batches(root, analysis), "batch_id")
-        if n <= newest
+        if n <= number
     ]
+    for n in paths.numbered_files(spark, _manifests(root, analysis))[:-1]:
+        paths.delete(spark, f"{_manifests(root, analysis)}/{n}")
     return sum(paths.delete(spark, folder) for folder in old)

@@ -6,6 +6,7 @@ from .job import (
     start_all,
     start_all_connector,
     status,
+    stop,
     stop_all,
     wait_all,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "start_all",
     "start_all_connector",
     "status",
+    "stop",
     "stop_all",
     "to_connector",
     "to_console",

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.errors import error_events
+from ..operators.parse import rejects
 from ..operators.windows import ip_activity, traffic, url_activity
+from ..schema import TABLES
+from ..store import read_refused
 from .sinks import TRIGGER, to_connector, to_table
 
 # The names of the analyses, also their query names.
@@ -21,13 +24,21 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def analysis_frames(events: DataFrame, analyses: Iterable[str] = tuple(ANALYSES)) -> dict[str, DataFrame]:
-    """The chosen analyses over parsed events, batch or streaming."""
+def analysis_frames(
+    events: DataFrame, analyses: Iterable[str] = tuple(ANALYSES), lines: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The chosen analyses over parsed events, batch or streaming.
+
+    With the raw ``lines`` also ``rejects``, the lines that parsing leaves out.
+    """
     position = [name for name in ("kafka_partition", "kafka_offset") if name in events.columns]
-    return {
+    frames = {
         name: error_events(events, keep=position) if name == "error_logs" else ANALYSES[name](events)
         for name in analyses
     }
+    if lines is not None:
+        frames["rejects"] = rejects(lines)
+    return frames
 
 
 def start_all(
@@ -37,16 +48,19 @@ def start_all(
     analyses: Iterable[str] = tuple(ANALYSES),
     trigger: str = TRIGGER,
     available_now: bool = False,
-    fmt: str = "parquet",
+    fmt: str | None = None,
     state_partitions: int | None = None,
+    lines: DataFrame | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start one query per analysis, each with its own checkpoint below the root.
 
+    ``lines``, the raw lines of the same source, adds a query that stores the rejects.
+
     If one cannot start, those already running are stopped again.
     """
     started: dict[str, StreamingQuery] = {}
     try:
-        for name, frame in analysis_frames(events, analyses).items():
+        for name, frame in analysis_frames(events, analyses, lines).items():
             started[name] = to_table(
                 frame,
                 name,
@@ -116,19 +130,21 @@ def stop_all(spark: SparkSession) -> int:
     return stop(spark.streams.active)
 
 
-STATUS_SCHEMA = "name string, active boolean, batch_id long, input_rows long, dropped_late long, message string"
+STATUS_SCHEMA = "name string, active boolean, batch_id long, input_rows long, late_groups long, refused_rows long, message string"
 
 
-def status(spark: SparkSession, queries: Sequence[StreamingQuery] | None = None) -> DataFrame:
+def status(spark: SparkSession, queries: Sequence[StreamingQuery] | None = None, root: str | None = None) -> DataFrame:
     """One row per query, by default of all that run.
 
-    ``input_rows`` is that of the last batch, ``dropped_late`` the sum over the
-    recent ones of rows that came in after their window was closed.
+    ``input_rows`` is that of the last batch. ``late_groups`` counts, over the recent
+    batches, what came in after its window was closed: Spark drops late rows after it
+    has combined them per task, window and key, so it is a number of such groups, at
+    most that of the rows. ``refused_rows`` are those kept beside the table below ``root``.
     """
     rows = []
     for query in spark.streams.active if queries is None else queries:
         last, recent = query.lastProgress, query.recentProgress
-        dropped = sum(
+        late = sum(
             operator["numRowsDroppedByWatermark"] for progress in recent for operator in progress["stateOperators"]
         )
         rows.append(
@@ -137,7 +153,8 @@ def status(spark: SparkSession, queries: Sequence[StreamingQuery] | None = None)
                 query.isActive,
                 last["batchId"] if last else None,
                 last["numInputRows"] if last else None,
-                dropped,
+                late,
+                read_refused(spark, query.name, root).count() if root and query.name in TABLES else None,
                 str(query.exception() or query.status["message"]),
             )
         )

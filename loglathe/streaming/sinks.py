@@ -19,6 +19,7 @@ TRIGGER = "30 seconds"
 def search_index_options(hosts: str | list[str], index: str, port: int = 9200) -> dict[str, str]:
     """Options of the search-index connector; the document id makes writes repeatable."""
     names = [hosts] if isinstance(hosts, str) else list(hosts)
+    # The connector's option names.
     return {
         "es.nodes": ",".join(name.split("://", 1)[-1] for name in names),
         "es.port": str(port),
@@ -83,14 +84,15 @@ def to_table(
     checkpoint: str,
     trigger: str = TRIGGER,
     available_now: bool = False,
-    fmt: str = "parquet",
+    fmt: str | None = None,
     query_name: str | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Write a streaming analysis to its table, one folder per micro-batch.
 
     A replayed batch replaces its own folder, so a restart loses and doubles
-    nothing. Empty batches leave no trace.
+    nothing. Empty batches leave no trace. Rows that do not fit the table are kept
+    beside it, see ``read_refused``.
     """
     spark = df.sparkSession
     _claim(spark, analysis, root, checkpoint)

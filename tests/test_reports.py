@@ -10,6 +10,7 @@ from conftest import plan_of
 from loglathe import (
     agent_stats,
     check_ranges,
+    error_trend,
     locate,
     referrer_stats,
     retain,
@@ -83,8 +84,25 @@ def test_spikes_equal_one_ordered_pass(events, monkeypatch, block):
     assert result == expected and expected
 
 
-@pytest.mark.parametrize("in_memory_rows", [0, 1_000_000])
-def test_percentiles_equal_numpy(spark, in_memory_rows):
+def test_spikes_with_gaps_filled(events):
+    """After an outage the quiet hours count: the same traffic as before it is no spike, or is one."""
+    def hour(h, n):
+        return [("a", f"2024-01-{1 + h // 24:02d} {h % 24:02d}:{i % 60:02d}:00", "/", 200) for i in range(n)]
+
+    hours = {**{h: 10 + h % 3 for h in range(24)}, 60: 12}
+    df = events(*[row for h, n in hours.items() for row in hour(h, n)])
+    assert spikes(df, lookback=24, z=3.0).count() == 0
+    found = spikes(df, lookback=24, z=3.0, fill_gaps=True).collect()
+    assert [(r["window_start"].hour, r["request_count"], r["baseline"]) for r in found] == [(12, 12, 0.0)]
+    assert spikes(df.limit(0), fill_gaps=True).count() == 0
+
+
+def test_error_trend_forgets_old_windows_as_a_stream(spark, tmp_path):
+    stream = spark.readStream.schema("timestamp timestamp, status_code int").json(str(tmp_path))
+    assert "EventTimeWatermark" in error_trend(stream)._jdf.queryExecution().analyzed().toString()
+
+
+def test_percentiles_equal_numpy(spark):
     rng = random.Random(3)
     groups = {
         "hot": [7.25] * 900 + [rng.gauss(0, 1) for _ in range(100)],  # copies of one value
@@ -95,16 +113,48 @@ def test_percentiles_equal_numpy(spark, in_memory_rows):
     rows = [(g, v) for g, values in groups.items() for v in values] + [("hot", None)]
     df = spark.createDataFrame(rows, "g string, x double").repartition(5)
     ps = [0.0, 0.25, 0.5, 0.95, 0.999, 1.0]
-    result = {r["g"]: tuple(r)[1:] for r in value_percentiles(df, "x", ["g"], ps, in_memory_rows=in_memory_rows).collect()}
+    result = {r["g"]: tuple(r)[1:] for r in value_percentiles(df, "x", ["g"], ps).collect()}
     assert result.keys() == groups.keys()
     for g, values in groups.items():
         assert result[g] == pytest.approx(np.quantile(values, ps), rel=1e-12, abs=1e-12)
-    overall = value_percentiles(df, "x", (), ps, in_memory_rows=in_memory_rows)
+    overall = value_percentiles(df, "x", (), ps)
     assert overall.columns == ["p0", "p25", "p50", "p95", "p99_9", "p100"]
     everything = [v for values in groups.values() for v in values]
     assert tuple(overall.first()) == pytest.approx(np.quantile(everything, ps), rel=1e-12, abs=1e-12)
 
 
+def test_percentiles_combine_copies_before_any_join(spark):
+    """A value on a third of the rows is one row below every join, also without broadcasts."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.rand(1)).alias("x"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = value_percentiles(df, "x", (), [0.5, 0.9])
+        values = sorted(r["x"] for r in df.collect())
+        assert tuple(found.first()) == pytest.approx(np.quantile(values, [0.5, 0.9]))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # What is joined is the stored table of distinct values, not the rows.
+    assert "CollectLimit" not in plan and "Range (0, 3000" not in plan and "Join" in plan
+
+
+def test_percentiles_over_many_partitions(spark):
+    rng = random.Random(9)
+    rows = [(g, float(rng.randrange(500))) for g in "abc" for _ in range(700)]
+    settings = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        result = {r["g"]: tuple(r)[1:] for r in value_percentiles(spark.createDataFrame(rows, "g string, x double"), "x", ["g"], [0.1, 0.5, 0.99]).collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    for g in "abc":
+        assert result[g] == pytest.approx(np.quantile([x for h, x in rows if h == g], [0.1, 0.5, 0.99]))
+
+
 def test_percentile_sketch(spark):
     df = spark.range(1, 1001).withColumnRenamed("id", "x")
     assert tuple(value_percentiles(df, "x", ps=[0.5, 0.99], accuracy=10000).first()) == (500.0, 990.0)
@@ -113,6 +163,7 @@ def test_percentile_sketch(spark):
 def test_percentiles_of_nothing(spark):
     df = spark.createDataFrame([("a", None)], "g string, x double")
     assert value_percentiles(df, "x", ["g"]).count() == 0
+    assert value_percentiles(df, "x").count() == 0
 
 
 def number(ip):
@@ -134,15 +185,23 @@ RANGES = [
 ]
 
 
-@pytest.mark.parametrize("broadcast_bytes", [1 << 26, 0])
-def test_locate_equals_brute_force(spark, broadcast_bytes):
+@pytest.fixture
+def broadcast_below(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    yield lambda limit: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("limit", ["64MB", "-1"])
+def test_locate_equals_brute_force(spark, broadcast_below, limit):
+    broadcast_below(limit)
     edges = [number(end) + step for first, last, _ in RANGES for end in (first, last) for step in (-1, 0, 1)]
     rng = random.Random(4)
     addresses = [n for n in edges if n < 2**32] + [number("10.0.0.0") + rng.randrange(8 << 16) for _ in range(300)]
     hosts = ["host.example", "1.2.3", "1.2.3.999", "", None, "10.0.0.5 ", "1.2.3.4.5"]
     df = spark.createDataFrame([(i, ip) for i, ip in enumerate([*map(dotted, addresses), *hosts])], "n int, ip string")
     ranges = spark.createDataFrame(RANGES, "start string, end string, place string")
-    result = {r["n"]: r["place"] for r in locate(df, ranges, broadcast_bytes=broadcast_bytes).collect()}
+    result = {r["n"]: r["place"] for r in locate(df, ranges).collect()}
 
     def place(n):
         return next((p for first, last, p in RANGES if number(first) <= n <= number(last)), None)
@@ -168,7 +227,7 @@ def test_locate_splits_a_hot_block(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        located = locate(df, ranges, broadcast_bytes=0)
+        located = locate(df, ranges)
         plan = plan_of(located)
         assert located.filter("place = 'all'").count() == 200_000
     finally:
@@ -177,6 +236,22 @@ def test_locate_splits_a_hot_block(spark):
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_host_names_do_not_meet_in_one_task(spark, broadcast_below):
+    """Nine in ten clients are host names: a merge join spreads them over its partitions."""
+    broadcast_below("-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(20_000).select(
+        F.col("id"), F.when(F.col("id") % 10 == 0, "10.0.0.7").otherwise("gateway.example").alias("ip")
+    )
+    ranges = spark.createDataFrame([("10.0.0.0", "10.0.0.254", "here")], "start string, end string, place string")
+    located = locate(df, ranges)
+    assert located.filter("place = 'here'").count() == 2_000 and located.count() == 20_000
+    assert "SortMergeJoin" in plan_of(located)
+    sizes = [r["count"] for r in located.filter("place IS NULL").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(sizes) < 0.5 * sum(sizes)
+
+
 @pytest.mark.parametrize("extra", [
     ("10.0.3.17", "10.0.3.20", "last address again"),
     ("10.2.0.9", "10.2.0.9", "inside a whole /16"),
@@ -221,6 +296,17 @@ def test_search_text(events):
         urls("--")
 
 
+def test_search_text_in_other_scripts(events):
+    df = events(*[("a", "2024-01-01", u, 200) for u in ["/Новости/главная", "/café/MENÜ", "/cafe/menu", "/новостная"]])
+
+    def urls(*args, **kwargs):
+        return [r["url"] for r in search_text(df, ["url"], *args, **kwargs).collect()]
+
+    assert urls("новости") == ["/Новости/главная"]
+    assert urls("café") == ["/café/MENÜ"] and urls("caf") == []
+    assert urls("menü menu", match="any") == ["/café/MENÜ", "/cafe/menu"]
+
+
 def test_agents_and_referrers(spark):
     rows = [
         ("Mozilla/5.0 (Windows NT 10.0) Chrome/120 Safari/537.36 Edg/120", "https://A.example:80/x"),

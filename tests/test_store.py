@@ -1,3 +1,6 @@
+import json
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from loglathe import (
     expire,
     last_batch,
     read_latest,
+    read_refused,
     table_path,
     vacuum,
     write_batch,
@@ -103,15 +107,101 @@ def test_compaction_keeps_the_content(spark, root, minutes):
     write_batch(minutes(("2024-01-03 00:00", 6)), "traffic_by_minute", root, 2)
     assert content(spark, root) == [("1 00:00", 1), ("3 00:00", 6)]
     assert compact(spark, "traffic_by_minute", root) == 2
-    assert paths.days(spark, f"{table_path(root, 'traffic_by_minute')}/compact/upto=2") == ["2024-01-01", "2024-01-03"]
+    # Only the day that the new batch touches is written again.
+    assert paths.days(spark, f"{table_path(root, 'traffic_by_minute')}/compact/upto=2") == ["2024-01-03"]
+    assert content(spark, root) == [("1 00:00", 1), ("3 00:00", 6)]
+    # The replayed batch, the new one, and the old folder of the third of January.
+    assert vacuum(spark, "traffic_by_minute", root) == 3
+    assert paths.days(spark, f"{table_path(root, 'traffic_by_minute')}/compact/upto=1") == ["2024-01-01"]
+    assert content(spark, root) == [("1 00:00", 1), ("3 00:00", 6)]
+
+
+def files_of(folder):
+    return {(str(f), f.stat().st_mtime_ns) for f in Path(folder).rglob("*.parquet")}
+
+
+def test_untouched_days_keep_their_files(spark, root, minutes):
+    write_batch(minutes(*[(f"2024-01-0{d} 00:00", d) for d in range(1, 6)]), "traffic_by_minute", root, 0)
+    compact(spark, "traffic_by_minute", root)
+    before = files_of(f"{table_path(root, 'traffic_by_minute')}/compact")
+    write_batch(minutes(("2024-01-03 00:00", 30), ("2024-01-03 00:01", 1)), "traffic_by_minute", root, 1)
+    compact(spark, "traffic_by_minute", root)
+    vacuum(spark, "traffic_by_minute", root)
+    after = files_of(f"{table_path(root, 'traffic_by_minute')}/compact")
+    assert {Path(f).parent.name for f, _ in before & after} == {f"dt=2024-01-0{d}" for d in (1, 2, 4, 5)}
+    assert content(spark, root) == sorted([(f"{d} 00:00", d) for d in (1, 2, 4, 5)] + [("3 00:00", 30), ("3 00:01", 1)])
+
+
+def test_unfinished_compaction_is_not_read(spark, root, minutes):
+    write_batch(minutes(("2024-01-01 00:00", 1)), "traffic_by_minute", root, 0)
+    compact(spark, "traffic_by_minute", root)
+    write_batch(minutes(("2024-01-01 00:00", 2)), "traffic_by_minute", root, 1)
+    compact(spark, "traffic_by_minute", root)
+    paths.delete(spark, f"{table_path(root, 'traffic_by_minute')}/manifests/1")
+    assert content(spark, root) == [("1 00:00", 2)]
+
+
+def test_append_goes_on_after_a_failed_write(spark, root, minutes):
+    from pyspark.errors import PySparkException
+
+    append_rows(minutes(("2024-01-01 00:00", 1)), "traffic_by_minute", root)
+    broken = minutes(("2024-01-01 00:01", 5)).withColumn("request_count", F.raise_error(F.lit("broken")).cast("bigint"))
+    with pytest.raises(PySparkException):
+        append_rows(broken, "traffic_by_minute", root)
+    # A folder that a killed writer has left with files but without _SUCCESS.
+    write_batch(minutes(("2024-01-01 00:02", 9)), "traffic_by_minute", root, 7)
+    paths.delete(spark, f"{table_path(root, 'traffic_by_minute')}/batches/batch_id=7/_SUCCESS")
+    assert append_rows(minutes(("2024-01-01 00:03", 3)), "traffic_by_minute", root) == (1, 0)
+    assert content(spark, root) == [("1 00:00", 1), ("1 00:03", 3)]
+    assert last_batch(spark, root, "traffic_by_minute") == 8
+
+
+def test_two_writers_keep_both_results(spark, root, minutes):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda m: append_rows(minutes((f"2024-01-01 00:0{m}", m)), "traffic_by_minute", root), range(4)))
+    assert content(spark, root) == [(f"1 00:0{m}", m) for m in range(4)]
+
+
+def test_refused_rows_are_kept(spark, root):
+    df = spark.createDataFrame(
+        [("a", "2024-01-01", "/", "404"), ("b", "2024-01-01", "/", "x")], "ip string, timestamp string, url string, status_code string"
+    ).withColumns({"method": F.lit("GET"), "log_type": F.lit("error")})
+    assert write_batch(df.filter("ip = 'b'"), "error_logs", root, 0) == (0, 1)
+    assert write_batch(df, "error_logs", root, 1) == (1, 1)
+    kept = [(json.loads(r["document"])["ip"], r["batch_id"]) for r in read_refused(spark, "error_logs", root).collect()]
+    assert sorted(kept) == [("b", 0), ("b", 1)]
+    # A replay without misfits takes the refused rows of its batch away again.
+    assert write_batch(df.filter("ip = 'a'"), "error_logs", root, 1) == (1, 0)
+    assert read_refused(spark, "error_logs", root).count() == 1
+    assert read_refused(spark, "top_ips", root).count() == 0
+
+
+def test_batches_are_few_files(spark, root, minutes):
+    rows = spark.range(500).select(
+        F.timestamp_seconds(F.col("id") * 60).alias("minute"), F.lit(1).alias("request_count"), F.lit("traffic").alias("log_type")
+    )
+    write_batch(rows.repartition(50), "traffic_by_minute", root, 0)
+    assert len(files_of(table_path(root, "traffic_by_minute"))) <= 2
 
 
 def test_day_filter_prunes_folders(spark, root, minutes):
     write_batch(minutes(("2024-01-01 00:00", 1), ("2024-01-03 00:00", 2)), "traffic_by_minute", root, 0)
     compact(spark, "traffic_by_minute", root)
-    stored = spark.read.parquet(f"{table_path(root, 'traffic_by_minute')}/compact/upto=0").filter("dt = DATE'2024-01-03'")
-    assert stored.count() == 1
-    assert "PartitionFilters: [isnotnull(dt" in stored._jdf.queryExecution().executedPlan().toString()
+    write_batch(minutes(("2024-01-03 00:01", 4), ("2024-01-04 00:00", 4)), "traffic_by_minute", root, 1)
+    found = read_latest(spark, "traffic_by_minute", root, since="2024-01-02", until="2024-01-03")
+    assert sorted(r["request_count"] for r in found.collect()) == [2, 4]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "dt=2024-01-01" not in plan
+    assert content(spark, root, since="2024-01-04") == [("4 00:00", 4)]
+    assert content(spark, root, until="2024-01-01") == [("1 00:00", 1)]
+
+
+def test_compacted_rows_are_not_ranked_again(spark, root, minutes):
+    write_batch(minutes(("2024-01-01 00:00", 1)), "traffic_by_minute", root, 0)
+    compact(spark, "traffic_by_minute", root)
+    assert "Window" not in read_latest(spark, "traffic_by_minute", root)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_retention(spark, root, minutes):
@@ -129,7 +219,9 @@ def test_retention(spark, root, minutes):
 def test_other_file_formats(spark, root, minutes, fmt):
     append_rows(minutes(("2024-01-01 00:00", 1)), "traffic_by_minute", root, fmt=fmt)
     append_rows(minutes(("2024-01-01 00:00", 2)), "traffic_by_minute", root, fmt=fmt)
-    assert content(spark, root, fmt=fmt) == [("1 00:00", 2)]
+    assert content(spark, root, fmt=fmt) == content(spark, root) == [("1 00:00", 2)]
+    with pytest.raises(ValueError, match="stored as"):
+        read_latest(spark, "traffic_by_minute", root, fmt="parquet")
     with pytest.raises(ValueError):
         append_rows(minutes(("2024-01-01 00:00", 2)), "traffic_by_minute", root, fmt="text")
 

@@ -88,7 +88,7 @@ def test_stream_equals_batch_over_restarts(spark, logs, where):
     state = {r["name"]: r for r in status(spark, list(queries.values())).collect()}
     assert set(state) == set(ANALYSES)
     assert not any(r["active"] for r in state.values())
-    assert {r["dropped_late"] for r in state.values()} == {0}
+    assert {r["late_groups"] for r in state.values()} == {0}
 
 
 def test_late_rows_are_dropped_and_counted(spark, logs, where):
@@ -98,7 +98,7 @@ def test_late_rows_are_dropped_and_counted(spark, logs, where):
     queries = run(spark, logs.stream(spark), where, analyses=["traffic_by_minute"])
     minutes = [r[0].minute for r in rows(read_latest(spark, "traffic_by_minute", where[0]))]
     assert minutes == [30, 31, 32]
-    assert status(spark, list(queries.values())).first()["dropped_late"] == 1
+    assert status(spark, list(queries.values())).first()["late_groups"] == 1
 
 
 @pytest.mark.parametrize("mode,dropped", [("reject", 0), ("now", 2)])
@@ -107,7 +107,7 @@ def test_bad_time_moves_the_watermark_only_when_asked_to(spark, logs, where, mod
     for minute in (1, 2, 3):
         logs.add(("a", at(minute), "/x", 200))
     queries = run(spark, logs.stream(spark, on_bad_ts=mode), where, analyses=["traffic_by_minute"])
-    assert (status(spark, list(queries.values())).first()["dropped_late"] > 0) == (dropped > 0)
+    assert (status(spark, list(queries.values())).first()["late_groups"] > 0) == (dropped > 0)
 
 
 def test_failing_write_stops_the_query_and_loses_nothing(spark, logs, where, monkeypatch):
