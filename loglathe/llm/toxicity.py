@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,38 +51,62 @@ def fit(sample: DataFrame, vocabulary: int = VOCABULARY, steps: int = 300) -> No
     Adam on the weighted noisy-or likelihood with a small ridge.
     """
     rows = sample.select("text", "label", "weight").toArrow()
-    bags = [[set(_WORD.findall(s.lower())) for s in _SENTENCE.findall(t or "")] for t in rows["text"].to_pylist()]
     label = np.array(rows["label"].to_pylist(), np.float64)
     weight = np.array(rows["weight"].to_pylist(), np.float64)
     if not len(label) or label.min() == label.max():
         return None
-    known: dict[str, np.ndarray] = {}
-
-    def of(word: str) -> np.ndarray:
-        if word not in known:
-            known[word] = np.array(_features(word), np.uint32)
-        return known[word]
-
-    # Weighted shares of the toxic and the harmless documents that have a feature.
-    in_docs = [np.unique(np.concatenate([of(w) for w in set().union(*bag)])) if bag and any(bag) else np.zeros(0, np.uint32) for bag in bags]
-    codes, at, docs_with = np.unique(np.concatenate(in_docs), return_inverse=True, return_counts=True)
-    doc = np.repeat(np.arange(len(bags)), [len(x) for x in in_docs])
-    share = [np.bincount(at, weights=(label == y)[doc], minlength=len(codes)) / (label == y).sum() for y in (1, 0)]
-    differs = np.abs(share[0] - share[1]) / np.sqrt(share[0] + share[1] + 1e-9)
-    differs[docs_with < 3] = 0
-    chosen = codes[np.sort(np.argsort(-differs, kind="stable")[: min(vocabulary, int((docs_with >= 3).sum()))])]
-    del in_docs, at, doc, share
-    index = {int(c): i for i, c in enumerate(chosen)}
-    picked = {w: [index[c] for c in x.tolist() if c in index] for w, x in known.items()}
-
-    word, sentence, doc_of = [], [], []
-    for d, bag in enumerate(bags):
-        for words in bag:
-            for w in words:
-                word += picked[w]
-                sentence += [len(doc_of)] * len(picked[w])
-            doc_of.append(d)
-    word, sentence, doc_of = np.array(word, np.int64), np.array(sentence, np.int64), np.array(doc_of, np.int64)
+
+    # Flat arrays of numbers: the distinct words of each sentence, and the sentences of each document.
+    number: dict[str, int] = {}
+    tokens, sentence_words, doc_sentences = array("i"), array("i"), array("i")
+    for chunk in rows["text"].chunks:
+        for text in chunk.to_pylist():
+            sentences = _SENTENCE.findall(text or "")
+            doc_sentences.append(len(sentences))
+            for s in sentences:
+                words = set(_WORD.findall(s.lower()))
+                sentence_words.append(len(words))
+                tokens.extend([number.setdefault(w, len(number)) for w in words])
+    del rows
+    tokens, sentence_words = np.frombuffer(tokens, np.int32), np.frombuffer(sentence_words, np.int32)
+    codes, per_word = array("L"), array("i")
+    for w in number:
+        of_word = _features(w)
+        codes.extend(of_word)
+        per_word.append(len(of_word))
+    del number
+    codes, feature = np.unique(np.array(codes, np.uint32), return_inverse=True)
+    per_word = np.array(per_word, np.int64)
+    first = np.cumsum(per_word) - per_word
+
+    def expand(words: np.ndarray) -> np.ndarray:
+        """Features of the words, one after the other."""
+        sizes = per_word[words]
+        inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return feature[np.repeat(first[words], sizes) + inside]
+
+    # Shares of the toxic and the harmless documents that have a feature.
+    have = np.zeros((2, len(codes)))
+    doc_of = np.repeat(np.arange(len(label)), np.array(doc_sentences, np.int64))
+    word_doc = np.repeat(doc_of, sentence_words)
+    edges = np.searchsorted(word_doc, np.arange(len(label) + 1))
+    for d, y in enumerate(label):
+        have[int(y), np.unique(expand(np.unique(tokens[edges[d] : edges[d + 1]])))] += 1
+    share = have / np.array([[(label == 0).sum()], [(label == 1).sum()]])
+    differs = np.abs(share[1] - share[0]) / np.sqrt(share.sum(axis=0) + 1e-9)
+    frequent = have.sum(axis=0) >= 3
+    differs[~frequent] = 0
+    chosen = np.sort(np.argsort(-differs, kind="stable")[: min(vocabulary, int(frequent.sum()))])
+    place = np.full(len(codes), -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    # A word keeps its chosen features only.
+    kept = place[feature] >= 0
+    feature = place[feature[kept]]
+    per_word = np.bincount(np.repeat(np.arange(len(per_word)), per_word)[kept], minlength=len(per_word))
+    first = np.cumsum(per_word) - per_word
+    word = expand(tokens)
+    sentence = np.repeat(np.repeat(np.arange(len(sentence_words)), sentence_words), per_word[tokens])
+    chosen = codes[chosen]
     n_sentences, n_docs = len(doc_of), len(label)
     weight = weight / weight.sum()
 
