@@ -205,7 +205,8 @@ def _remaining_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 continue
             y = y[(bands[y] == bands[x]).argmax(axis=1) == band]  # the pair's first common bucket
             mixed = np.bitwise_or.reduce((planes[y] ^ planes[x]).reshape(len(y), BITS, half), axis=1)
-            equal = 1 - np.bitwise_count(mixed).sum(axis=1) / HASHES
+            # unsigned: of a signed number the bits of its absolute value would be counted
+            equal = 1 - np.bitwise_count(mixed.view(np.uint64)).sum(axis=1) / HASHES
             y = y[(equal - 2.0**-BITS) / (1 - 2.0**-BITS) >= LEAST_ESTIMATE]
             mine = np.frombuffer(rows[x][5], np.uint64)
             for k in y:
