@@ -2,9 +2,10 @@
 
 Two views of a page, what its text looks like and what its metadata say, each train a
 logistic classifier. Over some rounds each view labels the documents it is sure of for
-the other one. Both are then calibrated on the labelled documents and their evidence is
-added. Nothing is sampled: every document takes part, each Newton step is one pass over
-the stored features that adds up a small matrix.
+the other one, if labelled documents that neither has learned from show that it may be
+sure. On those both are then calibrated, and their evidence is added. Nothing is sampled:
+every document takes part, each Newton step is one pass over the stored features that
+adds up a small matrix.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from .common import crc_mod, load, materialise
 ROUNDS = 3
 #: Probability from which a view labels a document for the other view.
 SURE = 0.98
+#: Share of right answers, and least number of answers, on which a sure view is trusted.
+TRUSTED, TRUSTED_ROWS = 0.95, 5
 #: Buckets of hashed sources and languages.
 SOURCES, LANGUAGES = 32, 16
-_RIDGE = 1e-2
+_RIDGE = 0.1
 _TEXT_FEATURES = 16
 VIEWS = ("text", "page")
 
@@ -129,6 +132,10 @@ def _views(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     return out
 
 
+def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(batch.schema.names.index(name)).to_numpy(zero_copy_only=False).astype(float)
+
+
 def _summed(table: DataFrame, parts) -> np.ndarray:
     """Sum over all rows of the vector that ``parts(batch)`` gives; added up by Spark, so only one vector arrives."""
 
@@ -161,16 +168,16 @@ def _newton_step(parts: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def co_train(table: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> CoTrained | None:
-    """Fit on stored features with a column ``label`` (1 good, 0 bad, null unknown).
+    """Fit on stored features with the columns ``label`` and ``check`` (1 good, 0 bad, null unknown).
 
-    Null if one of the labels is missing. Each round starts from the last weights; a
-    document that carries a label is never relabelled.
+    Weights are learned from ``label``, trust and calibration from ``check``. Null if
+    ``label`` lacks one of the two. Each round starts from the last weights; a document
+    that carries either is never relabelled.
     """
     size = {"text": _TEXT_FEATURES, "page": SOURCES + LANGUAGES + 2}
 
     def moments(batch: pa.RecordBatch) -> np.ndarray:
-        x = _views(batch)
-        label = batch.column(batch.schema.names.index("label")).to_numpy(zero_copy_only=False).astype(float)
+        x, label = _views(batch), _column(batch, "label")
         return np.concatenate([[batch.num_rows, (label == 1).sum(), (label == 0).sum()], *[f(x[v]) for v in VIEWS for f in (lambda a: a.sum(0), lambda a: (a**2).sum(0))]])
 
     total = _summed(table, moments)
@@ -184,17 +191,32 @@ def co_train(table: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> CoTr
         at += 2 * size[v]
     model = CoTrained(mean, spread, {v: np.zeros(size[v] + 1) for v in VIEWS}, prior=float(np.log(good / bad)))
 
-    def pass_over(teacher: CoTrained | None, current: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    def trust() -> dict[str, tuple[bool, bool]]:
+        """Whether each view may teach bad and good: sure answers on ``check`` are right."""
+
         def parts(batch: pa.RecordBatch) -> np.ndarray:
-            x = _views(batch)
-            label = batch.column(batch.schema.names.index("label")).to_numpy(zero_copy_only=False).astype(float)
-            known = ~np.isnan(label)
+            x, check = _views(batch), _column(batch, "check")
+            out = []
+            for view in VIEWS:
+                p = 1 / (1 + np.exp(-np.clip(model.margins(view, x[view]), -30, 30)))
+                for says, right in ((p <= 1 - sure, 0), (p >= sure, 1)):
+                    out += [says.sum(), (says & (check == right)).sum()]
+            return np.array(out, float)
+
+        n = _summed(table.filter("check IS NOT NULL"), parts)
+        n = n.reshape(2, 2, 2) if len(n) else np.zeros((2, 2, 2))
+        return {v: tuple(bool(n[i, y, 0] >= TRUSTED_ROWS and n[i, y, 1] >= TRUSTED * n[i, y, 0]) for y in (0, 1)) for i, v in enumerate(VIEWS)}
+
+    def pass_over(teacher: CoTrained | None, trusted: dict[str, tuple[bool, bool]], current: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        def parts(batch: pa.RecordBatch) -> np.ndarray:
+            x, label = _views(batch), _column(batch, "label")
+            known, free = ~np.isnan(label), np.isnan(label) & np.isnan(_column(batch, "check"))
             out = []
             for view, other in zip(VIEWS, reversed(VIEWS), strict=True):
                 target, weight = np.where(known, label, 0.0), known.astype(float)
                 if teacher is not None:
                     p = 1 / (1 + np.exp(-np.clip(teacher.margins(other, x[other]), -30, 30)))
-                    taught = ~known & ((p >= sure) | (p <= 1 - sure))
+                    taught = free & ((p >= sure) & trusted[other][1] | (p <= 1 - sure) & trusted[other][0])
                     target, weight = np.where(taught, (p > 0.5).astype(float), target), np.maximum(weight, taught)
                 out.append(_newton_parts(_design(x[view], mean[view], spread[view]), target, weight, current[view]))
             return np.concatenate(out)
@@ -209,19 +231,21 @@ def co_train(table: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> CoTr
 
     for turn in range(rounds):
         teacher = CoTrained(mean, spread, dict(model.weights)) if turn else None
+        trusted = trust() if turn else {}
         for _ in range(3 if turn else 8):
-            model.weights = pass_over(teacher, model.weights)
+            model.weights = pass_over(teacher, trusted, model.weights)
 
     lines = {v: np.array([1.0, 0.0]) for v in VIEWS}
     for _ in range(4):
         def platt(batch: pa.RecordBatch, lines=lines) -> np.ndarray:
-            x = _views(batch)
-            label = batch.column(batch.schema.names.index("label")).to_numpy(zero_copy_only=False).astype(float)
+            x, label = _views(batch), _column(batch, "check")
             known = ~np.isnan(label)
             z = {v: np.stack([np.clip(model.margins(v, x[v]), -30, 30), np.ones(len(label))], axis=1) for v in VIEWS}
             return np.concatenate([_newton_parts(z[v], np.where(known, label, 0.0), known.astype(float), lines[v]) for v in VIEWS])
 
-        total = _summed(table.filter("label IS NOT NULL"), platt)
+        total = _summed(table.filter("check IS NOT NULL"), platt)
+        if not len(total):  # nothing to calibrate on
+            break
         lines = {v: _newton_step(total[i * 6 : i * 6 + 6], lines[v]) for i, v in enumerate(VIEWS)}
     model.calibration = lines
     return model
@@ -230,13 +254,15 @@ def co_train(table: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> CoTr
 def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text_key, score, text_score, page_score`` for each row; score is the probability of good quality.
 
-    Learned from labels of documents whose crc32(id) mod 5 is not 0; of several labels of one id the
-    smallest counts, null labels do not. An empty or null text has features like any
+    Learned from labels of documents whose crc32(id) mod 5 is not 0, those with remainder 1
+    for calibration; of several labels of one id the smallest counts, null labels do not. An empty or null text has features like any
     other. Without labels of both kinds every row scores 1: nothing can be rejected.
     Repeated rows score alike, other columns are not read.
     """
     known = labels.filter(F.col(label_col).isNotNull() & (crc_mod(F.col("doc_id"), 5) != 0))
-    known = known.groupBy(F.col("doc_id").alias("label_id")).agg(F.min(label_col).cast("int").alias("label"))
+    known = known.groupBy(F.col("doc_id").alias("label_id")).agg(F.min(label_col).cast("int").alias("known"))
+    part = crc_mod(F.col("label_id"), 5)
+    known = known.select("label_id", F.when(part != 1, F.col("known")).alias("label"), F.when(part == 1, F.col("known")).alias("check"))
     table = features(docs, id_col, text_col)
     table = materialise(table.join(known, F.col("doc_id") == F.col("label_id"), "left").drop("label_id"))
     model = co_train(table)

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import load, materialise, scratch_dir
@@ -142,6 +142,11 @@ def write_archive(pages: DataFrame, root: str, id_col: str = "page_id", url_col:
     return materialise(joined.mapInArrow(write, "key string, page string, file string, offset bigint, length bigint"))
 
 
+def _entry_key() -> Column:
+    """URL key and page of a capture; no page at all is not the same as an empty name."""
+    return F.concat(F.col("key"), F.lit("\t"), F.coalesce(F.concat(F.lit("="), F.col("page")), F.lit("-")))
+
+
 @dataclass(frozen=True)
 class CaptureIndex:
     """Where the files are, and ``(first key, index file, directory file)`` of each index file, sorted.
@@ -155,7 +160,7 @@ class CaptureIndex:
 
 def build_index(captures: DataFrame, root: str) -> CaptureIndex:
     """Sort captures by key (then page) into index files of gzip blocks with a block directory each."""
-    keyed = captures.select(F.concat_ws("\t", "key", F.coalesce("page", F.lit(""))).alias("k"), "file", "offset", "length")
+    keyed = captures.select(_entry_key().alias("k"), "file", "offset", "length")
     ordered = keyed.repartitionByRange("k", "file", "offset").sortWithinPartitions("k", "file", "offset")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +249,7 @@ def look_up(wanted: DataFrame, index: CaptureIndex) -> DataFrame:
 
     Requests are sorted like the index, so a task reads neighbouring blocks, each once.
     """
-    keys = wanted.select(F.concat_ws("\t", "key", F.coalesce("page", F.lit(""))).alias("k")).distinct().repartitionByRange("k").sortWithinPartitions("k")
+    keys = wanted.select(_entry_key().alias("k")).distinct().repartitionByRange("k").sortWithinPartitions("k")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(index)
