@@ -31,6 +31,8 @@ from .common import load, materialise, scratch_dir
 
 #: Bytes after which an archive file is closed, and captures in a block of the index.
 FILE_BYTES, BLOCK_LINES = 256 << 20, 1000
+#: Compressed bytes of records that one task reads: places alone are small and would meet in few tasks.
+TASK_BYTES = 32 << 20
 #: Date of all records: pages carry none.
 DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -269,7 +271,7 @@ def captures_of_url(index: CaptureIndex, url: str | None) -> list[dict]:
 
 
 def read_records(places: DataFrame, root: str, with_payload: bool = False) -> DataFrame:
-    """Range-read records: ``page, payload_bytes, payload_digest, record_type, refers_to`` (and ``payload``).
+    """Range-read records at stored ``places``: ``page, payload_bytes, payload_digest, record_type, refers_to`` (and ``payload``).
 
     The digest of a response is computed from what was read, and must be the recorded one.
     """
@@ -297,7 +299,9 @@ def read_records(places: DataFrame, root: str, with_payload: bool = False) -> Da
                 arrays, names = [*arrays, pa.array(rows[5], pa.binary())], [*names, "payload"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    ordered = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    total = places.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+    parts = max(places.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES)
+    ordered = places.repartitionByRange(int(parts), "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.select("file", "offset", "length").mapInArrow(read, schema)
 
 
@@ -306,7 +310,7 @@ def op6_two_level_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, root = load(spark, sf_dir, "pages"), scratch_dir(spark)
     captures = write_archive(pages, root)
     index = build_index(captures, root)
-    found = look_up(captures.select("key", "page"), index)
+    found = materialise(look_up(captures.select("key", "page"), index))
     id_type = pages.schema["page_id"].dataType
     return read_records(found, root).select(
         F.col("page").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(id_type).alias("refers_to")
