@@ -14,7 +14,11 @@ QUERIES = {
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_template_decontamination": decontaminate.op10_template_decontamination,
 }
+# The others need a tokenizer, a trained model or template rules.
 ORACLE = {
     "op2_line_windows": line_dedup.OP2_SQL,
+    "op6_two_level_index": warc.OP6_SQL,
     "op7_content_sort": exact_dedup.OP7_SQL,
+    "op8_bbit_minhash": near_dup.OP8_SQL,
+    "op9_hash_tree_shards": sharding.OP9_SQL,
 }

@@ -310,3 +310,31 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all documents, on shingles of two words."""
     return near_duplicates(load(spark, sf_dir, "documents"), words=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM words
+),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM members a JOIN members b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM sets
+  UNION
+  SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.r
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+FROM sets JOIN reach USING (doc_id) GROUP BY doc_id, s
+"""

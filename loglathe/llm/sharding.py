@@ -118,3 +118,46 @@ def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
         shard_of(F.col("doc_id"), grow(tree, 8)).cast("int").alias("grown_shard"),
     )
+
+
+def _draw_sql(path: str, weight: float) -> str:
+    return f"(-ln((('0x' || substr(md5(doc_id || '|{path}'), 1, 13))::BIGINT + 1) / 4503599627370497.0::DOUBLE) / {weight})"
+
+
+def _walk_sql(node: Node, path: str) -> str:
+    """A walk down the tree as nested comparisons of all draws."""
+    if not node.children:
+        return str(node.shard)
+    below = [_walk_sql(c, f"{path}/{c.name}") for c in node.children]
+    draws = [_draw_sql(f"{path}/{c.name}", c.weight) for c in node.children]
+    cases = [f"WHEN {d} = least({', '.join(draws)}) THEN {b}" for d, b in zip(draws, below, strict=True)]
+    return below[0] if len(below) == 1 else f"CASE {' '.join(cases)} END"
+
+
+OP9_SQL = f"""
+WITH steps AS (  -- the 256 steps of crc32, from its polynomial
+  SELECT list(c ORDER BY i) AS s FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i)
+  )
+),
+bytes AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b
+  FROM documents
+),
+placed AS (
+  SELECT doc_id, size,
+    xor(list_reduce(list_concat([4294967295::BIGINT], b), lambda c, x: xor(c >> 8, s[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) AS text_crc32,
+    {_walk_sql(balanced_tree(), "root")} AS shard,
+    {_walk_sql(grow(balanced_tree(), 8), "root")} AS grown_shard
+  FROM bytes, steps
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+  row_number() OVER (
+    PARTITION BY shard ORDER BY ('0x' || substr(md5(doc_id || ''), 1, 8))::BIGINT % 64, doc_id, size, text_crc32
+  ) - 1 AS slot,
+  grown_shard::INTEGER AS grown_shard
+FROM placed
+"""

@@ -315,3 +315,20 @@ def op6_two_level_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(found, root).select(
         F.col("page").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(id_type).alias("refers_to")
     )
+
+
+OP6_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_page FROM pages
+),
+bits AS (
+  SELECT *, array_to_string(list_transform(regexp_extract_all(sha1(html), '.'), lambda h: lpad(bin(('0x' || h)::INTEGER), 4, '0')), '') AS b
+  FROM p
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    list_sum(list_transform(range(5), lambda j: substr(b, 5 * k + j + 1, 1)::INTEGER * (16 >> j)))::INTEGER + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM bits
+"""
