@@ -71,11 +71,14 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the scratch folder and read it back.
 
     Survives lost executors, and gives the planner the true size of the data, so
-    Spark's own threshold decides whether a later join may broadcast it.
+    Spark's own threshold decides whether a later join may broadcast it. The folder goes
+    when the driver ends, as results that read it may be used until then.
     """
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.parquet(path)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return spark.read.schema(df.schema).parquet(path)
 
 
