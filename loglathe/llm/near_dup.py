@@ -28,8 +28,9 @@ BANDS = HASHES // BAND  # a pair at similarity 0.8 shares a bucket but for 5 in
 SIMILAR = 80  # per cent
 #: Six standard deviations of the estimate below 0.8: the filter before the exact test.
 LEAST_ESTIMATE = 0.58
-#: Pivots a bucket row can meet, and rows of one block of a bucket.
-PIVOTS, BLOCK = 8, 256
+#: Pivots a bucket row can meet, and rows of one block of a bucket. A row is copied once for
+#: each block of its bucket, so smaller blocks copy more.
+PIVOTS, BLOCK = 8, 1024
 
 _SPLIT = np.random.default_rng(20)
 _A = _SPLIT.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
