@@ -41,7 +41,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the remaining documents in sequences of 2,048."""
-    return packing.pack(materialise(packing.pieces(docs)))
+    return packing.pack(materialise(packing.pieces(docs, added_tokens=True)))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

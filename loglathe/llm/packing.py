@@ -27,42 +27,53 @@ MAX_LEN = 2048
 RANK_ROWS = 500_000
 
 
-def _encoding(path: str | None):
+def _encoding(path: str | None, added_tokens: bool):
     """The byte-level BPE vocabulary ``byte_bpe_50k``, as ranks.
 
     ``byte_bpe_50k.json`` and ``byte_bpe_50k.tiktoken`` hold one vocabulary; the tests
-    compare the ids. The second is read four times faster, and has no special tokens, so
-    their spelling in a text stays ordinary text.
+    compare the ids. The second is read four times faster, and has no added tokens: these
+    come from the file of the same name that ends in ``.json``.
     """
+    import json
+
     import public_tokenizers
     import tiktoken
 
     # A task function is unpickled for each task; the worker process keeps what lies in a module.
     path, kept = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), vars(tiktoken).setdefault("kept_encodings", {})
-    if path not in kept:
+    if (path, added_tokens) not in kept:
         with open(path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        kept[path] = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return kept[path]
+        added = []
+        if added_tokens:
+            with open(path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as file:
+                added = json.load(file)["added_tokens"]
+        if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens are matched as they are spelled, without their blanks or word edges")
+        special = {t["content"]: t["id"] for t in added}
+        kept[path, added_tokens] = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return kept[path, added_tokens]
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_len: int = MAX_LEN,
-           end_id: int = 1, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
+           end_id: int = 1, vocabulary: str | None = None, with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Token pieces ``doc_id, start, length, ids_crc32, doc_tokens`` (and ``ids``).
 
     A document is its token ids and then ``end_id``; a null or empty text is ``end_id``
-    alone. It is cut every ``max_len`` ids.
+    alone. It is cut every ``max_len`` ids. With ``added_tokens`` the added tokens of the
+    vocabulary (``<|endoftext|>``) have their own id inside texts too, as ``tokenizers``
+    gives with ``add_special_tokens=False``; without, their spelling is ordinary text.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
     schema += ", ids array<bigint>" if with_ids else ""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(vocabulary).encode_to_numpy
+        encode = _encoding(vocabulary, added_tokens).encode_to_numpy
         for batch in batches:
             rows, start, length, crc, total, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
-                tokens = np.append(encode(text, disallowed_special=()) if text else np.array([], "<u4"), end_id).astype("<u4")
+                tokens = np.append(encode(text, allowed_special="all", disallowed_special=()) if text else np.array([], "<u4"), end_id).astype("<u4")
                 for at in range(0, len(tokens), max_len):
                     piece = tokens[at : at + max_len]
                     rows.append(i), start.append(at), length.append(len(piece)), total.append(len(tokens))
@@ -179,4 +190,4 @@ def pack(parts: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
 
 def op3_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2,048 tokens."""
-    return pack(materialise(pieces(load(spark, sf_dir, "documents"))))
+    return pack(materialise(pieces(load(spark, sf_dir, "documents"), added_tokens=True)))

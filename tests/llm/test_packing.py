@@ -80,3 +80,15 @@ def test_longest_first_into_most_room():
     # 6 opens a pack, 5 another (4 left is too little), 3 goes to the emptier one, and so on
     patterns = packing.shortest_pack_first(histogram, 10)
     assert sorted(p for _, p in patterns) == [((5, 1), (3, 1), (2, 1)), ((6, 1), (3, 1))]
+
+
+def test_added_tokens_inside_texts(spark, frame, tmp_path):
+    """op3 and the pipeline's stage give the ids of the tokenizer as loaded."""
+    import corpus_pipeline
+
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(1, "one<|endoftext|>two"), (2, "<|endoftext|>"), (3, "a <|endoftext|> b<|endoftext|><|endoftext|>\n c <|endoftext|"), (4, "plain"), (5, None)]
+    assert loaded.encode(rows[0][1], add_special_tokens=False).ids == [505, 50256, 11545]
+    frame(*rows).write.parquet(f"{tmp_path}/documents.parquet")
+    check(spark, rows, packing.op3_shortest_pack_first(spark, str(tmp_path)).collect(), loaded)
+    check(spark, rows, dict(corpus_pipeline.STAGES)["packing"](spark, frame(*rows), str(tmp_path)).collect(), loaded)
