@@ -1,11 +1,12 @@
 """Benchmark passages in documents, also with other numbers, names and units.
 
 Texts become template tokens: numbers, names and units turn into typed placeholders.
-Windows of template tokens are hashed and joined with those of the benchmark. Matching
-windows count together if they lie on one alignment of document and item and if their
-slots are filled consistently: one value in the item, one value in the document. So a
-question asked again with other values is found, and a text that merely has the same
-shape is not.
+Windows of template tokens are hashed and joined with those of the benchmark, and so are
+windows of the tokens' own lower-cased text. Matching windows count together if they lie
+on one alignment of document and item. A value of the item stands for one value of the
+document: windows that hold a changed value where it does not are dropped, the others
+count. So a question asked again with other values is found, and a text that merely has
+the same shape is not.
 """
 
 from __future__ import annotations
@@ -15,17 +16,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import load, materialise
+from .line_dedup import _bind
 
 WINDOW = 8
-#: An item with fewer template tokens cannot be told from chance and is never reported.
+#: An item with fewer tokens is reported only where it fills whole lines or sentences, word for word.
 MIN_TOKENS = 5
 #: Share of an item's tokens that one document must hold.
 MIN_COVER = 0.5
-#: Tokens of a window that must be words, not slots: half of it.
+#: Tokens of a window that must be words, not slots, if it matches with changed values: half of it.
 MIN_WORDS = 0.5
 
 UNITS = frozenset(
@@ -66,63 +68,113 @@ class Template:
         self.end[i] = raw.rstrip("\"'`)]}»”’*_")[-1:] in (".", "!", "?", ":")
         return i
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, text: str, line_names: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Template hashes, the hash of each token's own text, and which tokens are slots."""
-        raw = text.split()
+        views, own, _, _ = self.views(text)
+        return views[line_names][0], own, views[line_names][1]
+
+    def views(self, text: str) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
+        """Template hashes and slots in two views, hashes of own texts, and tokens that start and end a line or sentence.
+
+        A capital at the start of the text or of a line makes no name in the first view
+        and a name in the second: a heading or a wrapped line may lie before it.
+        """
+        lines = [text.split()]
+        raw = [w for line in lines for w in line]
         if len(self.index) + len(raw) > len(self.codes):
             self.__init__(max(len(self.codes), 2 * len(raw)))
         get, learn = self.index.get, self._learn
         ids = [i if (i := get(w)) is not None else learn(w) for w in raw]
         at = np.array(ids, np.int64)
-        kinds, codes = self.kinds[at], self.codes[at]
-        starts = np.ones(len(at), bool)  # a capital after a full stop makes no name
-        starts[1:] = self.end[at[:-1]]
-        here = kinds != _NONE
-        kinds = np.where((kinds == _NAME) & starts, _WORD, kinds)[here]
-        codes = codes[here]
-        slots = kinds != _WORD
+        here = np.flatnonzero(self.kinds[at] != _NONE)
+        kinds, codes = self.kinds[at][here], self.codes[at][here]
+        breaks = np.zeros(len(at) + 1, np.int64)
+        breaks[np.cumsum([0, *map(len, lines)])] = 1
+        stops = np.zeros(len(at) + 1, np.int64)
+        stops[1:] = self.end[at]
+
+        def first(marks: np.ndarray) -> np.ndarray:
+            # Dashes and bullets pass the start on to the token behind them.
+            return np.diff(np.cumsum(marks)[here], prepend=0) > 0
+
+        stop, line = first(stops), first(breaks)
+        starts = stop | line
         # A unit is a slot only behind a number: "a day" is plain words.
         lone = (kinds == _UNIT) & ~np.concatenate([[False], kinds[:-1] == _NUM])[: len(kinds)]
-        slots &= ~lone
-        return np.where(slots, kinds.astype(np.uint64), codes), codes, slots
+        views = []
+        for plain in (starts,):  # a capital after a full stop makes no name
+            shown = np.where((kinds == _NAME) & plain, _WORD, kinds)
+            slots = (shown != _WORD) & ~lone
+            views.append((np.where(slots, shown.astype(np.uint64), codes), slots))
+        return views, codes, starts, np.append(starts[1:], True)[: len(starts)]
 
 
-def _window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
+def _window_hashes(codes: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the windows that start at the places ``at``, or of all."""
     n = len(codes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total = np.full(n, width, np.uint64)
+    total = np.full(n if at is None else len(at), width, np.uint64)
     with np.errstate(over="ignore"):
         for j in range(width):
-            total = (total ^ codes[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
+            total = (total ^ (codes[j : j + n] if at is None else codes[at + j])) * np.uint64(0x9E3779B97F4A7C15)
             total ^= total >> np.uint64(29)
     return total
 
 
-def _wordy(slots: np.ndarray, width: int) -> np.ndarray:
-    words = np.concatenate([[0], np.cumsum(~slots)])
-    return words[width:] - words[:-width] >= width * MIN_WORDS
+def _within(marked: np.ndarray, width: int) -> np.ndarray:
+    """How many marked tokens each window has."""
+    count = np.concatenate([[0], np.cumsum(marked)])
+    return count[width:] - count[:-width]
+
+
+def _text_windows(seen_text: tuple, width: int, whole: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Places, hashes and slots (none for windows of own text) of the windows of each kind.
+
+    All windows of own text; of each view the windows with slots and enough words. A
+    window without slots has one hash for all. Windows under ``MIN_TOKENS`` are of own
+    text alone; ``whole`` keeps those that fill lines or sentences.
+    """
+    views, own, starts, ends = seen_text
+    n = len(own) - width + 1
+    if n <= 0:
+        return
+    if width < MIN_TOKENS:
+        return
+    at = np.flatnonzero(_within(views[0][1], width) == 0)
+    yield at, _window_hashes(own, width, at), None
+    seen = None
+    for codes, slots in views:
+        count = _within(slots, width)
+        new = (count > 0) & (width - count >= width * MIN_WORDS)
+        if seen is not None:
+            new &= _within(slots != seen, width) > 0
+        seen = slots
+        at = np.flatnonzero(new)
+        yield at, _window_hashes(codes, width, at), slots
 
 
 def _window_rows(template: Template, texts: list, widths: tuple[int, ...], filters: dict | None) -> dict[str, list]:
-    out: dict[str, list] = {k: [] for k in ("row", "width", "place", "hash", "slots", "tokens")}
+    out: dict[str, list] = {k: [] for k in ("row", "width", "place", "hash", "at", "slots", "tokens")}
     for i, text in enumerate(texts):
         if not text:
             continue
-        codes, own, slots = template.of(text)
-        for width in widths if filters is not None else (min(WINDOW, max(len(codes), 1)),):
-            if len(codes) < max(width, MIN_TOKENS):
-                continue
-            hashes = _window_hashes(codes, width)
-            hits = _wordy(slots, width)
-            if filters is not None:
-                bits = filters[width]
-                place = (hashes & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
-                hits &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            for k in np.flatnonzero(hits):
-                inside = own[k : k + width][slots[k : k + width]]
-                out["row"].append(i), out["width"].append(width), out["place"].append(int(k)), out["tokens"].append(len(codes))
-                out["hash"].append(int(hashes[k].view(np.int64))), out["slots"].append(inside.view(np.int64).tolist())
+        seen_text = template.views(text)
+        own = seen_text[1]
+        for width in widths if filters is not None else (min(WINDOW, max(len(own), 1)),):
+            for places, hashes, slots in _text_windows(seen_text, width, filters is not None):
+                if filters is not None:
+                    bits = filters[width]
+                    place = (hashes & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
+                    hits = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                    places, hashes = places[hits], hashes[hits]
+                if slots is None and filters is None:
+                    # The item's values also lie in its windows of own text; the document's are the same there.
+                    slots = seen_text[0][0][1]
+                for k, h in zip(places.tolist(), hashes.view(np.int64).tolist(), strict=True):
+                    inside = np.flatnonzero(slots[k : k + width]) + k if slots is not None else np.zeros(0, np.int64)
+                    out["row"].append(i), out["width"].append(width), out["place"].append(k), out["tokens"].append(len(own))
+                    out["hash"].append(h), out["at"].append(inside.tolist()), out["slots"].append(own[inside].view(np.int64).tolist())
     return out
 
 
@@ -130,7 +182,7 @@ def _windows(texts: DataFrame, keys: list[str], widths: tuple[int, ...] = (), fi
     """Template windows of a frame with the columns ``keys`` and ``text``; ``filters`` drops those the benchmark can't have."""
     from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-    types = [("width", IntegerType()), ("place", IntegerType()), ("tokens", IntegerType()), ("hash", LongType()), ("slots", ArrayType(LongType()))]
+    types = [("width", IntegerType()), ("place", IntegerType()), ("tokens", IntegerType()), ("hash", LongType()), ("at", ArrayType(IntegerType())), ("slots", ArrayType(LongType()))]
     schema = StructType([*(texts.schema[k] for k in keys), *(StructField(n, t) for n, t in types)])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,8 +193,8 @@ def _windows(texts: DataFrame, keys: list[str], widths: tuple[int, ...] = (), fi
             rows = pa.array(made["row"], pa.int64())
             arrays = [batch.column(names.index(k)).take(rows) for k in keys]
             arrays += [pa.array(made[n], pa.int32()) for n in ("width", "place", "tokens")]
-            arrays += [pa.array(made["hash"], pa.int64()), pa.array(made["slots"], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "width", "place", "tokens", "hash", "slots"])
+            arrays += [pa.array(made["hash"], pa.int64()), pa.array(made["at"], pa.list_(pa.int32())), pa.array(made["slots"], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "width", "place", "tokens", "hash", "at", "slots"])
 
     return texts.select(*keys, "text").mapInArrow(make, schema)
 
@@ -172,14 +224,35 @@ def _bitmaps(bench: DataFrame) -> dict[int, np.ndarray]:
     return maps
 
 
+def _judged(places: Column, fills: Column, width: Column) -> Column:
+    """Of one alignment, item tokens in windows that count (``covered``) and those with a conflicting value (``broken``)."""
+
+    def repeated(values: Column) -> Column:  # item values that stand for several values of the document
+        return F.transform(F.filter(values, lambda x, i: (i > 0) & (F.get(values, i - 1)["a"] == x["a"])), lambda x: x["a"])
+
+    def broken(all_fills: Column) -> Column:
+        values = F.array_sort(F.array_distinct(F.transform(all_fills, lambda f: F.struct(f["a"].alias("a"), f["b"].alias("b")))))
+        many = _bind(values, repeated)
+        wrong = _bind(many, lambda m: F.filter(all_fills, lambda f: (f["a"] != f["b"]) & F.array_contains(m, f["a"])))
+        return F.array_distinct(F.transform(wrong, lambda f: f["p"]))
+
+    def judge(s: Column) -> Column:
+        kept = F.filter(s["places"], lambda p: ~F.exists(s["broken"], lambda x: (x >= p) & (x < p + s["width"])))
+        covered = F.array_distinct(F.flatten(F.transform(kept, lambda p: F.sequence(p, p + s["width"] - 1))))
+        return F.struct(covered.alias("covered"), s["broken"].alias("broken"))
+
+    return _bind(F.struct(places.alias("places"), _bind(fills, broken).alias("broken"), width.alias("width")), judge)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, text_key, item_id, covered, verbatim`` for each document that holds an item.
 
-    ``covered`` is the share of the item's template tokens in consistent windows,
-    ``verbatim`` says that all slots have the item's own values. Null or empty texts on
-    either side match nothing; nor do items under ``MIN_TOKENS``. Items under ``WINDOW``
-    tokens are one window of their own length. Repeated items or documents give one row
+    ``covered`` is the share of the item's tokens in matching windows, less the share of
+    those that only conflicting windows hold; ``verbatim`` says that all slots have the
+    item's own values. Null or empty texts on either side match nothing. Items under
+    ``WINDOW`` tokens are one window of their own length; under ``MIN_TOKENS`` they must
+    fill whole lines or sentences. Repeated items or documents give one row
     (``text_key`` tells apart texts with the same id). A null id is an id like others.
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).distinct()
@@ -188,27 +261,33 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     found = _windows(source, ["doc_id", "text_key"], tuple(sorted(maps)), maps)
     bench = bench.select(
-        "item_id", "width", "hash", F.col("place").alias("item_place"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots")
+        "item_id", "width", "hash", F.col("place").alias("item_place"), F.col("tokens").alias("item_tokens"),
+        F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
+    )
+    # Windows of own text come without slots from the document: their values are the item's.
+    filled = F.transform(
+        F.arrays_zip(F.col("item_at").alias("p"), F.col("item_slots").alias("a"), F.col("slots").alias("b")),
+        lambda f: F.struct(f["p"].alias("p"), f["a"].alias("a"), F.coalesce(f["b"], f["a"]).alias("b")),
     )
     # Copies of a window at one alignment are one match.
     pairs = found.join(bench, ["width", "hash"]).select(
-        "doc_id", "text_key", "item_id", "item_tokens", "width", "item_place", (F.col("place") - F.col("item_place")).alias("shift"),
-        F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b")).alias("fills"),
+        "doc_id", "text_key", "item_id", "item_tokens", "width", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), filled.alias("fills")
     )
     aligned = pairs.groupBy("doc_id", "text_key", "item_id", "item_tokens", "width", "shift").agg(
         F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("fills"))).alias("fills")
     )
-    fills = F.col("fills")
-    # A value of the item stands for one value of the document, and the other way round.
-    consistent = (F.size(F.array_distinct(fills["a"])) == F.size(fills)) & (F.size(F.array_distinct(fills["b"])) == F.size(fills))
-    tokens = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.col("width") - 1))))
-    aligned = aligned.filter(consistent).withColumn("covered_tokens", tokens).withColumn(
-        "same_fills", ~F.exists(fills, lambda f: f["a"] != f["b"])
-    )
-    by_item = aligned.groupBy("doc_id", "text_key", "item_id", "item_tokens").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("covered_tokens")))).alias("n"), F.min("same_fills").alias("verbatim")
+    judged = aligned.select(
+        "doc_id", "text_key", "item_id", "item_tokens", _judged(F.col("places"), F.col("fills"), F.col("width")).alias("judged"),
+        (~F.exists("fills", lambda f: f["a"] != f["b"])).alias("same_fills"),
+    ).select("doc_id", "text_key", "item_id", "item_tokens", "judged.*", "same_fills").filter(F.size("covered") > 0)
+    together = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
+    by_item = judged.groupBy("doc_id", "text_key", "item_id", "item_tokens").agg(
+        together(F.col("covered")).alias("all"), together(F.when(F.size("broken") == 0, F.col("covered"))).alias("clean"),
+        together(F.col("broken")).alias("broken"), F.min("same_fills").alias("verbatim"),
     )
-    covered = F.col("n") / F.col("item_tokens")
+    # A conflict elsewhere takes nothing from alignments without any.
+    n = F.greatest(F.size("clean"), F.size("all") - F.size(F.array_except("broken", "all")))
+    covered = n / F.col("item_tokens")
     # One item id with several texts counts by its best text.
     return by_item.filter(covered >= MIN_COVER).groupBy("doc_id", "text_key", "item_id").agg(
         F.max(covered).alias("covered"), F.max("verbatim").alias("verbatim")

@@ -64,3 +64,22 @@ def test_slots():
     _, _, slots = template.of("Then Anna paid 5 km and 3,000.50 for a day in May. Next 7 days")
     words = "Then Anna paid 5 km and 3,000.50 for a day in May. Next 7 days".split()
     assert [w for w, s in zip(words, slots, strict=True) if s] == ["Anna", "5", "km", "3,000.50", "May.", "7", "days"]
+
+
+def found(docs, texts):
+    items = docs.sparkSession.createDataFrame(list(enumerate(texts, 1)), "item_id bigint, text string")
+    return {r.doc_id: r.item_ids for r in decontaminate.report(docs, items).collect()}
+
+
+def test_two_values_may_become_one_and_a_conflict_costs_its_windows_only(frame):
+    pens = "Yesterday my sister bought 3 pens and 5 books in the shop near our school."
+    long = (
+        "Anna walked along the river every morning before work because she liked the quiet water and the birds. One day Anna found "
+        "a small wooden box under the bridge, and inside it lay an old letter that nobody had opened for many years. The letter was "
+        "addressed to a person whom the whole village had long forgotten, so Anna kept it."
+    )
+    docs = frame(
+        (1, pens.replace("3", "4").replace("5", "4")), (2, long.replace("day Anna", "day Clara")), (3, "My brother sold 4 cars and 4 boats at the sea."),
+        (4, pens.replace("3 pens", "4 pens")),
+    )
+    assert found(docs, [pens, long]) == {1: [1], 2: [2], 3: [], 4: [1]}
