@@ -141,8 +141,7 @@ def _text_windows(seen_text: tuple, width: int, whole: bool) -> Iterator[tuple[n
         return
     if width < MIN_TOKENS:
         return
-    at = np.flatnonzero(_within(views[0][1], width) == 0)
-    yield at, _window_hashes(own, width, at), None
+    yield np.arange(n), _window_hashes(own, width), None
     seen = None
     for codes, slots in views:
         count = _within(slots, width)

@@ -83,3 +83,10 @@ def test_two_values_may_become_one_and_a_conflict_costs_its_windows_only(frame):
         (4, pens.replace("3 pens", "4 pens")),
     )
     assert found(docs, [pens, long]) == {1: [1], 2: [2], 3: [], 4: [1]}
+
+
+def test_items_of_numbers_and_names_and_other_case(frame):
+    numbers = "Sum 17 25 42 98 61 33 57 12 77 81 90 14 = ?"
+    names = "Anna Boris and Clara met David Emma and Fred in Paris near Notre Dame with George Hanna and Ivan today."
+    docs = frame((1, f"Sheet one. {numbers} Done."), (2, names.lower()), (3, names.upper()), (4, "Sum 18 26 43 99 62 34 58 13 78 82 91 15 = ?"))
+    assert found(docs, [numbers, names]) == {1: [1], 2: [2], 3: [2], 4: []}
