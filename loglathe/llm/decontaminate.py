@@ -79,7 +79,7 @@ class Template:
         A capital at the start of the text or of a line makes no name in the first view
         and a name in the second: a heading or a wrapped line may lie before it.
         """
-        lines = [text.split()]
+        lines = [line.split() for line in text.splitlines()]
         raw = [w for line in lines for w in line]
         if len(self.index) + len(raw) > len(self.codes):
             self.__init__(max(len(self.codes), 2 * len(raw)))
@@ -102,7 +102,7 @@ class Template:
         # A unit is a slot only behind a number: "a day" is plain words.
         lone = (kinds == _UNIT) & ~np.concatenate([[False], kinds[:-1] == _NUM])[: len(kinds)]
         views = []
-        for plain in (starts,):  # a capital after a full stop makes no name
+        for plain in (starts, stop):  # a capital after a full stop makes no name
             shown = np.where((kinds == _NAME) & plain, _WORD, kinds)
             slots = (shown != _WORD) & ~lone
             views.append((np.where(slots, shown.astype(np.uint64), codes), slots))
@@ -140,6 +140,8 @@ def _text_windows(seen_text: tuple, width: int, whole: bool) -> Iterator[tuple[n
     if n <= 0:
         return
     if width < MIN_TOKENS:
+        at = np.flatnonzero(starts[:n] & ends[width - 1 :]) if whole else np.arange(n)
+        yield at, _window_hashes(own, width, at), None
         return
     yield np.arange(n), _window_hashes(own, width), None
     seen = None
@@ -169,7 +171,7 @@ def _window_rows(template: Template, texts: list, widths: tuple[int, ...], filte
                     places, hashes = places[hits], hashes[hits]
                 if slots is None and filters is None:
                     # The item's values also lie in its windows of own text; the document's are the same there.
-                    slots = seen_text[0][0][1]
+                    slots = seen_text[0][1][1]
                 for k, h in zip(places.tolist(), hashes.view(np.int64).tolist(), strict=True):
                     inside = np.flatnonzero(slots[k : k + width]) + k if slots is not None else np.zeros(0, np.int64)
                     out["row"].append(i), out["width"].append(width), out["place"].append(k), out["tokens"].append(len(own))

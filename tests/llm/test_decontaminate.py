@@ -90,3 +90,12 @@ def test_items_of_numbers_and_names_and_other_case(frame):
     names = "Anna Boris and Clara met David Emma and Fred in Paris near Notre Dame with George Hanna and Ivan today."
     docs = frame((1, f"Sheet one. {numbers} Done."), (2, names.lower()), (3, names.upper()), (4, "Sum 18 26 43 99 62 34 58 13 78 82 91 15 = ?"))
     assert found(docs, [numbers, names]) == {1: [1], 2: [2], 3: [2], 4: []}
+
+
+def test_short_items_below_headings(frame):
+    capital, names, short = "What is the capital of France?", "Anna has 3 apples and 2 pears", "Name two primes."
+    docs = frame(
+        (1, f"Quiz page\n{capital}\nAnother line"), (2, "Quiz page\n- What is the capital of Spain?"), (3, "My list\nBoris has 7 apples and 4 pears"),
+        (4, "Intro words\nname two primes\nmore"), (5, "please name two primes now"), (6, "First sentence. Name two primes. Last one."), (7, "What is the city of France?"),
+    )
+    assert found(docs, [capital, names, short]) == {1: [1], 2: [1], 3: [2], 4: [3], 5: [], 6: [3], 7: []}
