@@ -5,7 +5,8 @@ Layout below the root of a store::
     <table>/batches/batch_id=<n>/        rows of one batch
     <table>/refused/batch_id=<n>/        rows of the batch with a value that does not fit, as JSON
     <table>/compact/upto=<m>/dt=<day>/   newest rows of the days that batches up to m have touched
-    <table>/manifests/<m>                for each day, the upto of its live folder
+    <table>/manifests/<m>                for each day, the upto of its live folder; the batch numbers
+                                         up to m that are not folded in
     <table>/claims/<n>                   a batch number that a writer has taken
     <table>/_format, <table>/_query_id   file format; the stream that feeds the table
 
@@ -32,6 +33,7 @@ from . import paths
 FILE_FORMATS = ("parquet", "orc", "json")
 NO_BATCH = -1
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+OPEN = "open"
 
 log = logging.getLogger(__name__)
 
@@ -43,6 +45,20 @@ class WriteResult(NamedTuple):
     failed: int
 
 
+class Manifest(NamedTuple):
+    """A compaction: its last batch, where each day lives, and ranges of earlier batches it has not folded in."""
+
+    upto: int = NO_BATCH
+    live: dict[str, int] = {}
+    open: list[list[int]] = []
+
+    def folded(self, number: int) -> bool:
+        return number <= self.upto and not any(a <= number <= b for a, b in self.open)
+
+    def text(self) -> str:
+        return json.dumps({**self.live, OPEN: self.open} if self.open else self.live)
+
+
 def table_path(root: str, analysis: str) -> str:
     return f"{root.rstrip('/')}/{table_for(analysis).name}"
 
@@ -63,13 +79,20 @@ def _manifests(root: str, analysis: str) -> str:
     return f"{table_path(root, analysis)}/manifests"
 
 
-def _manifest(spark: SparkSession, root: str, analysis: str) -> tuple[int, dict[str, int]] | None:
-    """The newest compaction: its last batch, and where each day lives. One entry per day."""
+def _manifest(spark: SparkSession, root: str, analysis: str) -> Manifest | None:
+    """The newest compaction. One entry per day."""
     done = paths.numbered_files(spark, _manifests(root, analysis))
     if not done:
         return None
-    text = paths.read_text(spark, f"{_manifests(root, analysis)}/{done[-1]}")
-    return done[-1], {day: upto for day, upto in json.loads(text).items()}
+    live = json.loads(paths.read_text(spark, f"{_manifests(root, analysis)}/{done[-1]}"))
+    return Manifest(done[-1], live, live.pop(OPEN, []))
+
+
+def _without(ranges: list[list[int]], numbers: list[int]) -> list[list[int]]:
+    """Ranges of batch numbers without ``numbers``."""
+    for n in numbers:
+        ranges = [r for a, b in ranges for r in ([[a, n - 1], [n + 1, b]] if a <= n <= b else [[a, b]])]
+    return [[a, b] for a, b in ranges if a <= b]
 
 
 def _table_format(spark: SparkSession, root: str, analysis: str, fmt: str | None) -> str:
@@ -191,10 +214,14 @@ def append_rows(df: DataFrame, analysis: str, root: str, fmt: str | None = None)
     return write_batch(df, analysis, root, number, mode="error", fmt=fmt)
 
 
-def _batch_rows(spark: SparkSession, root: str, analysis: str, after: int, upto: int | None, fmt: str | None) -> DataFrame | None:
-    """Rows of the finished batches after ``after``, with their number."""
+def _waiting(spark: SparkSession, root: str, analysis: str, done: Manifest) -> list[int]:
+    """Finished batches that are not folded in, also those that finished after later ones."""
+    return [n for n in paths.numbered(spark, _batches(root, analysis), "batch_id") if not done.folded(n)]
+
+
+def _batch_rows(spark: SparkSession, root: str, analysis: str, numbers: list[int], fmt: str | None) -> DataFrame | None:
+    """Rows of the batches ``numbers``, with their number."""
     schema = _stored_schema(table_for(analysis))
-    numbers = [n for n in paths.numbered(spark, _batches(root, analysis), "batch_id") if n > after and (upto is None or n <= upto)]
     if not numbers:
         return None
     parent = _batches(root, analysis)
@@ -203,13 +230,14 @@ def _batch_rows(spark: SparkSession, root: str, analysis: str, after: int, upto:
 
 
 def _day_rows(spark: SparkSession, root: str, analysis: str, live: dict[str, int]) -> DataFrame | None:
-    """Compacted rows of the days in ``live``, with ``dt`` and the batch number ``upto``."""
+    """Compacted rows of the days in ``live``, with ``dt`` and the number of the batch they came with."""
     table, parent = table_for(analysis), _compacts(root, analysis)
     if not live:
         return None
-    schema = StructType([*table.schema.fields]).add("upto", LongType()).add("dt", DateType())
+    schema = _stored_schema(table).add("upto", LongType()).add("dt", DateType())
     rows = spark.read.schema(schema).option("basePath", parent).parquet(*[f"{parent}/upto={n}/dt={day}" for day, n in sorted(live.items())])
-    return rows.select(*table.schema.names, F.col("upto").alias("batch_id"), "dt")
+    # Files of earlier versions do not hold the number.
+    return rows.select(*table.schema.names, F.coalesce("batch_id", "upto").alias("batch_id"), "dt")
 
 
 def _newest(rows: DataFrame, table: ResultTable) -> DataFrame:
@@ -236,11 +264,13 @@ def read_latest(
 
     ``since`` and ``until`` (days, inclusive) limit the rows by the table's time; of the
     compacted days only their folders are listed and read. Compacted keys are unique, so
-    only rows of later batches are ranked, and compacted rows just give way to them.
+    only rows of later batches are ranked, and compacted rows just give way to them. If a
+    batch has finished after a later one was folded in, all rows are ranked.
     """
     table, names = table_for(analysis), table_for(analysis).schema.names
     since, until = _as_date(since), _as_date(until)
-    after, live = _manifest(spark, root, analysis) or (NO_BATCH, {})
+    done = _manifest(spark, root, analysis) or Manifest()
+    live = done.live
     day = F.to_date(table.time_col)
     if since or until:
         within = lambda d: d != NO_DAY and (not since or d >= since.isoformat()) and (not until or d <= until.isoformat())
@@ -252,11 +282,17 @@ def read_latest(
         return rows.filter(column <= F.lit(until)) if until else rows
 
     old = _day_rows(spark, root, analysis, live)
-    new = _batch_rows(spark, root, analysis, after, upto, fmt)
+    numbers = [n for n in _waiting(spark, root, analysis, done) if upto is None or n <= upto]
+    new = _batch_rows(spark, root, analysis, numbers, fmt)
     if old is not None:
-        old = limited(old, F.col("dt")).select(*names)
+        old = limited(old, F.col("dt")).select(*names, "batch_id")
     if new is not None:
-        new = _newest(limited(new, day), table).select(*names)
+        new = limited(new, day)
+        if old is not None and numbers[0] < done.upto:
+            new, old = old.unionByName(new), None
+        new = _newest(new, table).select(*names)
+    if old is not None:
+        old = old.select(*names)
     if old is None or new is None:
         found = old if new is None else new
         return spark.createDataFrame([], table.schema) if found is None else found
@@ -277,21 +313,27 @@ def compact(
 ) -> int:
     """Fold all finished batches into day folders; only days they touch are written anew.
 
-    Returns the number of the last batch folded in. ``retain_days`` drops older
+    Returns the number of the compaction: that of the last batch folded in, or the next one
+    if only batches below the last compaction were left. Batches that are not finished yet are
+    noted, stay readable once they are, and are folded in next time. ``retain_days`` drops older
     rows of the rewritten days on the way, and whole old days. Readers keep working: a
     compaction counts once its manifest is there, and the old folders stay until
     :func:`vacuum`. A key lies in one day, as keys hold the time of their window.
     """
     table = table_for(analysis)
-    number = last_batch(spark, root, analysis)
-    after, live = _manifest(spark, root, analysis) or (NO_BATCH, {})
-    new = _batch_rows(spark, root, analysis, after, number, fmt)
+    done = _manifest(spark, root, analysis) or Manifest()
+    live, waiting = done.live, _waiting(spark, root, analysis, done)
+    number = max([done.upto, *waiting])
+    new = _batch_rows(spark, root, analysis, waiting, fmt)
     if new is not None:
+        only_late = number == done.upto
+        if only_late:  # the folder of that number is live
+            number += 1
         day = F.coalesce(F.to_date(table.time_col).cast("string"), F.lit(NO_DAY))
         touched = {r["day"] for r in new.select(day.alias("day")).distinct().collect()}  # days, not rows
         old = _day_rows(spark, root, analysis, {d: n for d, n in live.items() if d in touched})
         rows = new if old is None else old.select(*new.columns).unionByName(new)
-        rows = _newest(rows, table).select(*table.schema.names)
+        rows = _newest(rows, table).select(*table.schema.names, "batch_id")
         if retain_days is not None:
             rows = retain(rows, table.time_col, retain_days, as_of)
         target = f"{_compacts(root, analysis)}/upto={number}"
@@ -300,7 +342,10 @@ def compact(
         by_day.write.mode("overwrite").partitionBy("dt").parquet(target)
         written = set(paths.days(spark, target))
         live = {d: n for d, n in live.items() if d not in touched} | {d: number for d in written}
-        paths.write_text(spark, f"{_manifests(root, analysis)}/{number}", json.dumps(live))
+        # A stream finishes its batches in order; a number without a folder had no rows.
+        in_order = owner(spark, root, analysis) and not only_late
+        left = _without(done.open if in_order else [*done.open, [done.upto + 1, number]], waiting)
+        paths.write_text(spark, f"{_manifests(root, analysis)}/{number}", Manifest(number, live, left).text())
     if retain_days is not None:
         expire(spark, analysis, root, retain_days, as_of)
     return number
@@ -316,13 +361,13 @@ def expire(
     newest = _manifest(spark, root, analysis)
     if newest is None:
         return 0
-    number, live = newest
+    number, live, left = newest
     moment = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     oldest = spark.range(1).select(F.to_date(moment - F.make_dt_interval(F.lit(days))).alias("d")).first()["d"]
     old = [day for day in live if day != NO_DAY and day < oldest.isoformat()]
     if old:
         # First out of sight, then away.
-        paths.write_text(spark, f"{_manifests(root, analysis)}/{number}", json.dumps({d: n for d, n in live.items() if d not in old}))
+        paths.write_text(spark, f"{_manifests(root, analysis)}/{number}", Manifest(number, {d: n for d, n in live.items() if d not in old}, left).text())
     for day in old:
         paths.delete(spark, f"{_compacts(root, analysis)}/upto={live[day]}/dt={day}")
     return len(old)
@@ -333,7 +378,7 @@ def vacuum(spark: SparkSession, analysis: str, root: str) -> int:
     newest = _manifest(spark, root, analysis)
     if newest is None:
         return 0
-    number, live = newest
+    number, live, _ = newest
     old = []
     for upto in paths.numbered(spark, _compacts(root, analysis), "upto", finished=False):
         folder = f"{_compacts(root, analysis)}/upto={upto}"
@@ -345,7 +390,7 @@ def vacuum(spark: SparkSession, analysis: str, root: str) -> int:
     old += [
         f"{_batches(root, analysis)}/batch_id={n}"
         for n in paths.numbered(spark, _batches(root, analysis), "batch_id")
-        if n <= number
+        if newest.folded(n)
     ]
     for n in paths.numbered_files(spark, _manifests(root, analysis))[:-1]:
         paths.delete(spark, f"{_manifests(root, analysis)}/{n}")

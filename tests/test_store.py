@@ -229,3 +229,23 @@ def test_other_file_formats(spark, root, minutes, fmt):
 def test_scratch_follows_the_session_setting(spark):
     assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_dir(spark) != scratch_dir(spark)
+
+
+def test_batch_that_finishes_after_a_later_one(spark, root, minutes):
+    name = "traffic_by_minute"
+    append_rows(minutes(("2024-01-01 00:00", 1), ("2024-01-01 00:01", 1), ("2024-01-02 00:00", 1)), name, root)
+    assert paths.create_new(spark, f"{table_path(root, name)}/claims/1")  # a writer that is still at work
+    append_rows(minutes(("2024-01-01 00:00", 7)), name, root)
+    assert compact(spark, name, root) == 2
+    write_batch(minutes(("2024-01-01 00:00", 5), ("2024-01-01 00:01", 5), ("2024-01-01 00:02", 5)), name, root, 1, mode="error")
+    whole = [("1 00:00", 7), ("1 00:01", 5), ("1 00:02", 5), ("2 00:00", 1)]
+    assert content(spark, root) == whole
+    vacuum(spark, name, root)
+    assert content(spark, root) == whole
+    assert compact(spark, name, root) == 3
+    assert content(spark, root) == whole
+    # The late batch is folded in and the folder of the other day stays.
+    assert vacuum(spark, name, root) >= 1 and paths.numbered(spark, f"{table_path(root, name)}/batches", "batch_id") == []
+    assert content(spark, root) == whole
+    append_rows(minutes(("2024-01-01 00:02", 9)), name, root)
+    assert last_batch(spark, root, name) == 4 and dict(content(spark, root))["1 00:02"] == 9
