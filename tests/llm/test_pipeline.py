@@ -51,5 +51,5 @@ def test_empty_and_odd_tables(spark, odd_docs, no_docs):
 def test_registered():
     names = set(__spark_entry__.queries())
     assert {"pipeline", *(n for n in names if n.startswith("op"))} == {n for n in names if n == "pipeline" or n.startswith("op")}
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontaminate", "packing"]
