@@ -5,10 +5,13 @@ buckets in which candidates meet; of each minimum only the low four bits are kep
 bit planes, so that the similarity of a pair is estimated by counting equal positions and
 correcting for chance. What passes is confirmed on the full shingle sets.
 
-Equal sets are one node. In a bucket every node is first paired with few pivots, which
-joins most of a large group. Only where nodes of different components still meet are the
+Equal sets are one node. In a bucket every node is first paired with one pivot: in a few
+bands for all nodes, which joins most of a large group, then in the others for what is not
+joined yet. Only where nodes of different components still meet are the
 remaining pairs looked at, in blocks of bounded size, and each pair in one of its buckets;
-no link is lost, and pairs inside a component are never listed.
+the nodes of a bucket's largest component meet only the others, not one another. Blocks
+compare bit planes first; shingle sets are sent for the nodes that pass. No link is lost,
+and pairs inside a component are never listed.
 """
 
 from __future__ import annotations
@@ -28,9 +31,11 @@ BANDS = HASHES // BAND  # a pair at similarity 0.8 shares a bucket but for 5 in
 SIMILAR = 80  # per cent
 #: Six standard deviations of the estimate below 0.8: the filter before the exact test.
 LEAST_ESTIMATE = 0.58
-#: Pivots a bucket row can meet, and rows of one block of a bucket. A row is copied once for
-#: each block of its bucket, so smaller blocks copy more.
-PIVOTS, BLOCK = 8, 1024
+#: Bands whose pivots come first.
+FIRST_BANDS = 4
+#: Nodes outside the largest component that a block of a bucket holds, bytes of their shingle
+#: sets, and nodes that are passed by a block in one group.
+BLOCK, BLOCK_BYTES, SLICE = 1024, 32 << 20, 1 << 16
 
 _SPLIT = np.random.default_rng(20)
 _A = _SPLIT.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -169,85 +174,181 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for each node of the edges ``a, b``; the root is the smallest node reached.
 
-    Labels move along edges and then jump to the label of the label, so long chains
-    take logarithmically many rounds. Each round is a written table.
+    Every node hooks to its smallest neighbour if that is smaller than itself. These trees are
+    followed to their roots, each becomes one node, and the edges left between them go
+    on. At least half of the nodes with edges vanish each time. Each step is a written table.
     """
-    both = materialise(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
-    while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        moved = labels.join(near, labels["node"] == near["a"]).select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        jump = moved.select(F.col("node").alias("at"), F.col("root").alias("further"))
-        moved = materialise(moved.join(jump, moved["root"] == jump["at"]).select("node", "old", F.least("root", "further").alias("root")))
-        labels = moved.select("node", "root")
-        if moved.filter(F.col("old") != F.col("root")).isEmpty():
-            return labels
-
-
-def _remaining_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between components, from rows sorted by bucket block; one block is held at a time."""
-    rows: list[tuple] = []
-    current, out_a, out_b = None, [], []
-
-    def links() -> None:
-        (_, band, i, j), m = current, len(rows)
-        roots = np.unique(np.array([r[2] for r in rows], object), return_inverse=True)[1]
-        if m < 2 or roots.min() == roots.max():
-            return
-        n = np.array([len(r[5]) // 8 for r in rows])
-        planes, bands = np.array([r[3] for r in rows], np.int64), np.array([r[4] for r in rows], np.int64)
-        block = np.array([r[1] for r in rows])
-        half = HASHES // 64
-        for x in range(m - 1):
-            y = np.arange(x + 1, m)
-            y = y[(roots[y] != roots[x]) & ((block[y] != block[x]) if i != j else True)]
-            y = y[10 * np.minimum(n[y], n[x]) * 10 >= SIMILAR * np.maximum(n[y], n[x])]
-            if not len(y):
-                continue
-            y = y[(bands[y] == bands[x]).argmax(axis=1) == band]  # the pair's first common bucket
-            mixed = np.bitwise_or.reduce((planes[y] ^ planes[x]).reshape(len(y), BITS, half), axis=1)
+    left = materialise(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    labels = None
+    while not left.isEmpty():
+        both = left.union(left.select("b", "a"))
+        tree = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
+        while True:
+            up = tree.select(F.col("node").alias("at"), F.col("root").alias("further"))
+            climbed = materialise(tree.join(up, tree["root"] == up["at"]).select("node", F.col("root").alias("old"), F.col("further").alias("root")))
+            tree = climbed.select("node", "root")
+            if climbed.filter("old <> root").isEmpty():
+                break
+        ends = left.join(tree.toDF("a", "root_a"), "a").join(tree.toDF("b", "root_b"), "b")
+        left = materialise(ends.filter("root_a <> root_b").select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")).distinct())
+        labels = tree if labels is None else materialise(joined_labels(labels, tree))
+    return left.select(F.col("a").alias("node"), F.col("b").alias("root")) if labels is None else labels
+
+
+def joined_labels(labels: DataFrame, above: DataFrame) -> DataFrame:
+    """Labels of nodes, and labels of their roots and of nodes without label, as one."""
+    top = above.select(F.col("node").alias("at"), F.col("root").alias("top"))
+    moved = labels.join(top, labels["root"] == top["at"], "left").select("node", F.coalesce("top", "root").alias("root"))
+    new = top.join(labels.select("node"), top["at"] == F.col("node"), "left_anti")
+    return moved.union(new.select("at", "top"))
+
+
+class _Held:
+    """The nodes of a block that others are compared with."""
+
+    def __init__(self):
+        self.size, self.known, self.rows = 0, {}, []
+        self.planes, self.bands = np.empty((64, BITS * HASHES // 64), np.int64), np.empty((64, BANDS), np.int64)
+        self.n, self.roots = np.empty(64, np.int64), np.empty(64, np.int64)
+
+    def number(self, root: bytes) -> int:
+        return self.known.setdefault(root, len(self.known))
+
+    def add(self, planes: np.ndarray, bands: np.ndarray, n: int, root: int, row: tuple) -> None:
+        if self.size == len(self.n):
+            self.planes, self.bands, self.n, self.roots = (np.concatenate([x, np.empty_like(x)]) for x in (self.planes, self.bands, self.n, self.roots))
+        self.planes[self.size], self.bands[self.size], self.n[self.size], self.roots[self.size] = planes, bands, n, root
+        self.rows.append(row)
+        self.size += 1
+
+    def near(self, planes: np.ndarray, bands: np.ndarray, n: int, root: int, band: int) -> np.ndarray:
+        """Held nodes of other components that may be similar, and share no bucket of an earlier band."""
+        sizes = self.n[: self.size]
+        y = np.flatnonzero((self.roots[: self.size] != root) & (100 * np.minimum(sizes, n) >= SIMILAR * np.maximum(sizes, n)))
+        if len(y):
+            y = y[(self.bands[y] == bands).argmax(axis=1) == band]
+        if len(y):
+            mixed = np.bitwise_or.reduce((self.planes[y] ^ planes).reshape(len(y), BITS, HASHES // 64), axis=1)
             # unsigned: of a signed number the bits of its absolute value would be counted
             equal = 1 - np.bitwise_count(mixed.view(np.uint64)).sum(axis=1) / HASHES
             y = y[(equal - 2.0**-BITS) / (1 - 2.0**-BITS) >= LEAST_ESTIMATE]
-            mine = np.frombuffer(rows[x][5], np.uint64)
-            for k in y:
-                if roots[k] == roots[x]:
-                    continue
-                theirs = np.frombuffer(rows[k][5], np.uint64)
-                at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
-                common = int((mine[at] == theirs).sum())
-                if 100 * common >= SIMILAR * (len(mine) + len(theirs) - common):
-                    out_a.append(rows[x][2]), out_b.append(rows[k][2])
-                    roots[roots == roots[k]] = roots[x]
+        return y
 
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in range(4)]
-        rest = [batch.column(c).to_pylist() for c in range(4, 9)]
-        for at, key in enumerate(zip(*columns, strict=True)):
-            if key != current:
-                if current is not None:
-                    links()
-                current, rows = key, []
-            mine, root, planes, bands, members = (c[at] for c in rest)
-            rows.append((None, mine, root, planes, bands, members))
-        if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], names=["a", "b"])
-            out_a, out_b = [], []
-    if current is not None:
-        links()
-    yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], names=["a", "b"])
+    def merge(self, root: int, other: int) -> None:
+        self.roots[: self.size][self.roots[: self.size] == other] = root
+        for name, number in self.known.items():
+            if number == other:
+                self.known[name] = root
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component_id, kept`` for each row of ``docs``.
+_GROUP = ["bucket", "band", "block", "slice"]
 
-    Words are split at ASCII white space, A-Z lower-cased; a text with fewer words than
-    ``words`` is one shingle. Null, empty and blank texts have no shingle and are linked
-    with nothing: ``component_id`` is their own id. Other rows are linked at similarity 0.8 or more.
-    ``component_id`` is the smallest id in reach (null ids count only where there is no
-    other), ``kept`` marks the rows with that id. Rows that repeat an id are told apart by
-    ``text_key``, a hash of the text. Other columns are not read.
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bool, _Held, np.ndarray, tuple]]:
+    """Rows sorted by group and role with what is near them: group, whether they are held from now on, what is held, near ones, row."""
+    current, held = None, _Held()
+    for batch in batches:
+        column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        keys = zip(*(column[k].to_pylist() for k in [*_GROUP, "role"]), strict=True)
+        planes, bands = (column[k].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for k in ("planes", "bands"))
+        rest = zip(*(column[k].to_pylist() for k in ("node", "root", "n")), column["members"].to_pylist() if "members" in column else [None] * batch.num_rows, strict=True)
+        for i, ((*group, role), (node, root, n, members)) in enumerate(zip(keys, rest, strict=True)):
+            group = tuple(group)
+            if group != current:
+                current, held = group, _Held()
+            number = held.number(root)
+            # Held nodes are in every slice, and meet one another in the first.
+            near = held.near(planes[i], bands[i], n, number, group[1]) if held.size and (role or not group[3]) else np.zeros(0, np.int64)
+            yield group, not role, held, near, (node, root, members)
+            if not role:
+                held.add(planes[i], bands[i], n, held.number(root), (node, root, members))
+
+
+def _passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes of each group that have a node whose estimate passes."""
+    names = [*_GROUP, "role", "node", "root"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    out: list[tuple] = []
+    current, seen = None, set()
+    for group, is_held, held, near, (node, root, _) in _compared(batches):
+        if group != current:
+            current, seen = group, set()
+        if len(near):
+            out.append((*group, int(not is_held), node, root))
+            if is_held:
+                seen.add(held.size)
+            for k in near.tolist():
+                if k not in seen:
+                    seen.add(k)
+                    out.append((*group, 0, *held.rows[k][:2]))
+        if len(out) >= 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components by full sets; what is linked inside a group is one component from then on."""
+    a: list[bytes] = []
+    b: list[bytes] = []
+    for _, _, held, near, (_, root, members) in _compared(batches):
+        mine = np.frombuffer(members, np.uint64)
+        for k in near.tolist():
+            number = held.number(root)
+            if held.roots[k] == number:
+                continue
+            theirs = np.frombuffer(held.rows[k][2], np.uint64)
+            at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+            common = int((mine[at] == theirs).sum())
+            if 100 * common >= SIMILAR * (len(mine) + len(theirs) - common):
+                a.append(root), b.append(held.rows[k][1])
+                held.merge(number, int(held.roots[k]))
+        if len(a) >= 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+            a, b = [], []
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+
+def _dealt(labelled: DataFrame) -> DataFrame:
+    """The nodes of buckets where several components meet, by group and role (0 held, 1 passing).
+
+    A bucket's nodes outside its largest component are dealt to blocks by hash. A block is
+    held; the other nodes of the bucket pass it, in slices. A row is copied for each block it passes and a held
+    one for each slice: with few nodes outside, once.
     """
+    rows = labelled.filter("node <> pivot")  # pivots have been compared
+    sizes = rows.groupBy("bucket", "band", "root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    largest = F.max(F.struct("c", "s", "root"))
+    open_ones = sizes.groupBy("bucket", "band").agg(largest.alias("main"), F.sum("c").alias("c"), F.sum("s").alias("s")).filter(F.col("c") > F.col("main.c"))
+    others, held_bytes = F.col("c") - F.col("main.c"), 8 * (F.col("s") - F.col("main.s"))
+    open_ones = open_ones.select(
+        F.col("bucket").alias("open"), F.col("band").alias("open_band"), F.col("main.root").alias("main"),
+        F.greatest(F.ceil(others / BLOCK), F.ceil(held_bytes / BLOCK_BYTES)).cast("int").alias("blocks"), F.ceil(F.col("c") / SLICE).cast("int").alias("slices"),
+    )
+    met = rows.join(open_ones, (F.col("bucket") == F.col("open")) & (F.col("band") == F.col("open_band")))
+    met = met.withColumn("mine", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("part", F.pmod(F.xxhash64("node", F.lit("slice")), "slices").cast("int"))
+    passed = lambda last: F.transform(F.sequence(F.lit(0), last), lambda j: F.struct(j.alias("block"), F.col("part").alias("slice"), F.lit(1).alias("role")))
+    held = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda j: F.struct(F.col("mine").alias("block"), j.alias("slice"), F.lit(0).alias("role")))
+    places = F.when(F.col("root") == F.col("main"), passed(F.col("blocks") - 1)).when(F.col("mine") == 0, held).otherwise(F.concat(held, passed(F.col("mine") - 1)))
+    return met.select("bucket", "band", "node", "root", F.explode(places).alias("p")).select("bucket", "band", "p.block", "p.slice", "p.role", "node", "root")
+
+
+def _remaining_links(labelled: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` between components from the buckets where nodes of several ones meet."""
+
+    def in_groups(df: DataFrame, with_sets: bool) -> DataFrame:
+        full = df.join(nodes.select("node", "n", "planes", "bands"), "node")
+        full = full.join(sets, "node") if with_sets else full
+        columns = [*_GROUP, "role", "node", "root", "n", "planes", "bands", *(["members"] if with_sets else [])]
+        return full.select(*columns).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "role")
+
+    survivors = materialise(in_groups(_dealt(labelled), False).mapInArrow(_passing, "bucket bigint, band int, block int, slice int, role int, node binary, root binary"))
+    return in_groups(survivors, True).mapInArrow(_links, "a binary, b binary")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """``doc_id, text_key, n, root, component_id`` of each row; the last two are null without words."""
     signed = materialise(signatures(docs, id_col, text_col, words))
     nodes = signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("least_id"),
@@ -256,55 +357,83 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     nodes = materialise(nodes.select("node", "least_id", F.col("row.doc_id").alias("doc_id"), F.col("row.text_key").alias("text_key"), "n", "planes", "bands"))
 
-    # Buckets with several nodes, and a pivot for each: few orders, so that a pair meets few times.
-    rows = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    order = F.struct(F.xxhash64("node", F.col("band") % PIVOTS).alias("o"), F.col("node").alias("node"))
+    # Buckets with several nodes, and the pivot of each: one order in the first bands and one in the others,
+    # so that the nodes of a large group mostly share theirs.
+    rows = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
+    order = F.struct(F.xxhash64("node", F.col("band") < FIRST_BANDS).alias("o"), F.col("node").alias("node"))
     shared = rows.groupBy("bucket", "band").agg(F.count("*").alias("rows"), F.min(order).alias("pivot")).filter("rows > 1")
-    shared = shared.select(F.col("bucket").alias("shared"), F.col("band").alias("shared_band"), "rows", F.col("pivot.node").alias("pivot"))
-    met = materialise(rows.join(shared, (F.col("bucket") == F.col("shared")) & (F.col("band") == F.col("shared_band"))).select("bucket", "band", "node", "rows", "pivot"))
+    shared = shared.select(F.col("bucket").alias("shared"), F.col("band").alias("shared_band"), F.col("pivot.node").alias("pivot"))
+    met = materialise(rows.join(shared, (F.col("bucket") == F.col("shared")) & (F.col("band") == F.col("shared_band"))).select("bucket", "band", "node", "n", "pivot"))
     wanted = met.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
     sets = materialise(_sets(docs, wanted, id_col, text_col, words).dropDuplicates(["node"]))
-
-    pairs = met.filter(F.col("node") != F.col("pivot")).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("planes").alias(f"planes_{x}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").filter(
-        (100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b")) & (estimate(F.col("planes_a"), F.col("planes_b")) >= LEAST_ESTIMATE)
-    ).select("a", "b")
-    roots = components(materialise(_confirmed(near, sets)))
-
-    # Buckets where nodes that are not pivots lie in different components.
-    labelled = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    others = F.when(F.col("node") != F.col("pivot"), F.col("root"))
-    labelled = materialise(labelled)
-    is_open = labelled.groupBy("bucket", "band").agg(F.min(others).alias("low"), F.max(others).alias("high")).filter("low != high")
-    is_open = is_open.select(F.col("bucket").alias("open"), F.col("band").alias("open_band"))
-    left = labelled.join(is_open, (F.col("bucket") == F.col("open")) & (F.col("band") == F.col("open_band")), "left_semi")
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    left = left.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    left = left.select("bucket", "band", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine", "root", "node")
-    left = left.join(nodes.select("node", "planes", "bands"), "node").join(sets, "node")
-    left = left.repartition("bucket", "band", "i", "j").sortWithinPartitions("bucket", "band", "i", "j")
-    more = left.select("bucket", "band", "i", "j", "mine", "root", "planes", "bands", "members").mapInArrow(_remaining_links, "a binary, b binary")
-    above = components(materialise(more.filter("a != b"))).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    roots = roots.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(
-        # nodes that only the second step has linked
-        above.join(roots, above["root"] == roots["node"], "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
-    )
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(
+            (100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b")) & (estimate(F.col("planes_a"), F.col("planes_b")) >= LEAST_ESTIMATE)
+        ).select("a", "b")
+        return materialise(_confirmed(near, sets))
+
+    pairs = met.filter(F.col("node") != F.col("pivot")).select("band", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    roots = components(linked(pairs.filter(F.col("band") < FIRST_BANDS).select("a", "b").distinct()))
+
+    def with_roots(df: DataFrame) -> DataFrame:
+        label = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+        both = df.join(label("a"), "a", "left").join(label("b"), "b", "left")
+        return both.select("a", "b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b"))
+
+    apart = materialise(with_roots(pairs.filter(F.col("band") >= FIRST_BANDS).select("a", "b").distinct()).filter("root_a <> root_b"))
+    more = linked(apart.select("a", "b")).join(apart, ["a", "b"]).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    roots = materialise(joined_labels(roots, components(more)))
+
+    labelled = materialise(met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    roots = joined_labels(roots, components(materialise(_remaining_links(labelled, nodes, sets))))
 
     ids = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     by_root = ids.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_node = ids.join(by_root, "root").select("node", "component_id")
-    joined = signed.join(of_node, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    of_node = ids.join(by_root, "root").select("node", "root", "component_id")
+    return signed.join(of_node, "node", "left").select("doc_id", "text_key", "n", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component_id, kept`` for each row of ``docs``.
+
+    Words are split at ASCII white space, A-Z lower-cased; a text with fewer words than
+    ``words`` is one shingle. Null, empty and blank texts have no shingle and are linked
+    with nothing: ``component_id`` is their own id. Other rows are linked at similarity 0.8 or more.
+    ``component_id`` is the smallest id in reach (null ids count only where there is no
+    other), ``kept`` marks the rows with that id. Rows that repeat an id are told apart by
+    ``text_key``, a hash of the text. Texts are read whole, each in one task; an empty table
+    gives no rows. Other columns are not read.
+    """
+    component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return _grouped(docs, id_col, text_col, words).select(
+        "doc_id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    )
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
-    """``docs`` with its columns; of each group the rows with the smallest id stay."""
-    gone = near_duplicates(docs, id_col, text_col, words).filter("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("d"), F.xxhash64(text_col).alias("k"))
-    kept = rows.join(materialise(gone), F.col("d").eqNullSafe(F.col("gone_id")) & (F.col("k") == F.col("gone_key")), "left_anti")
+    """``docs`` with its columns and one row of each group; rows without words all stay.
+
+    The smallest id stays (a null id only where there is no other), of rows with that id the one
+    with the smallest hash of its text, and one of the rows that repeat both, by a hash of their columns.
+    """
+    rows = _grouped(docs, id_col, text_col, words).filter(F.col("root").isNotNull())
+    texts = rows.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("copies"))
+    texts = texts.select("root", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key").alias("t"), "copies")
+    first = texts.groupBy(F.col("root").alias("of")).agg(F.min("t").alias("first"))
+    marked = texts.join(first, texts["root"] == first["of"]).select(
+        F.col("t.doc_id").alias("mark_id"), F.col("t.text_key").alias("mark_key"), (F.col("t") != F.col("first")).alias("gone"), "copies")
+    marks = materialise(marked.filter("gone OR copies > 1").distinct())
+    tagged = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("d"), F.xxhash64(text_col).alias("k"))
+    on = F.col("d").eqNullSafe(F.col("mark_id")) & (F.col("k") == F.col("mark_key"))
+    kept = tagged.join(marks.select("mark_id", "mark_key"), on, "left_anti").select("row")
+    repeated = marks.filter("NOT gone")
+    if not repeated.isEmpty():
+        plain = [F.col(f"`{f.name}`") for f in docs.schema if not f.dataType.simpleString().startswith(("map", "array", "struct", "variant"))]
+        hashed = docs.select(F.struct("*").alias("row"), F.xxhash64(*plain).alias("h"), F.col(id_col).alias("d"), F.xxhash64(text_col).alias("k"))
+        chosen = hashed.join(repeated.select("mark_id", "mark_key"), on, "left_semi").groupBy("d", "k").agg(F.min_by("row", "h").alias("row"))
+        kept = kept.union(chosen.select("row"))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

@@ -5,6 +5,8 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+
 from loglathe.llm import exact_dedup, line_dedup, near_dup
 from loglathe.llm.catalog import QUERIES
 from tests.conftest import SMALL
@@ -143,8 +145,51 @@ def test_chain_has_one_root(spark):
 def test_pipeline_form_keeps_columns(odd_docs):
     kept = near_dup.drop_near_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns
-    # ids 6 and 7 are copies; everything else stays
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in odd_docs.collect() if r.doc_id != 7)
+    # ids 6 and 7 are copies, and one row comes twice; everything else stays
+    expected = sorted(str(r.doc_id) for r in odd_docs.collect() if r.doc_id != 7)
+    expected.remove("4")
+    assert sorted(str(r.doc_id) for r in kept.collect()) == expected
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Also where the smallest id is repeated, by equal rows or other near copies, or all ids are null."""
+    words = [f"w{i}" for i in range(60)]
+    near = lambda i: " ".join([*words[:i], f"x{i}", *words[i + 1 :]])
+    rows = [(1, near(0), "a"), (1, near(0), "b"), (1, near(59), "c"), (2, near(1), "d"), (None, near(2), "e")]
+    rows += [(None, "null ids only " * 9, "f"), (None, "null ids only " * 9, "g"), (3, "", "h"), (4, "", "i"), (3, "", "h"), (5, None, "j")]
+    kept = near_dup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string, mark string")).collect()
+    assert len([r for r in kept if (r.text or "").startswith(("w", "x"))]) == 1 and {r.doc_id for r in kept if (r.text or "").startswith(("w", "x"))} == {1}
+    assert sorted(r.mark for r in kept if not r.text) == ["h", "h", "i", "j"]
+    assert len([r for r in kept if (r.text or "").startswith("null")]) == 1
+
+
+def test_few_outsiders_do_not_copy_a_large_component(spark, monkeypatch):
+    """A bucket of 1,500 nodes of one component and three others: nodes pass the one block there is, once."""
+    monkeypatch.setattr(near_dup, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    sets, roots = [], []
+    for i in range(1503):
+        own = base.copy()
+        own[:4] = rng.integers(0, 2**63, 4, dtype=np.uint64)
+        if i >= 1500:  # two that are linked with the others, and one that is not
+            own[: 20 if i < 1502 else 300] = rng.integers(0, 2**63, 20 if i < 1502 else 300, dtype=np.uint64)
+        sets.append(np.unique(own)), roots.append(b"main" if i < 1500 else f"o{i}".encode())
+    minima = near_dup._minima(sets)
+    planes, bands = near_dup._planes(minima).tolist(), near_dup._band_keys(minima)
+    bands[:, 0] = 7  # all in one bucket of the first band
+    name = lambda i: f"n{i:04d}".encode()
+    nodes = spark.createDataFrame([(name(i), len(s), p, b) for i, (s, p, b) in enumerate(zip(sets, planes, bands.tolist()))], "node binary, n bigint, planes array<bigint>, bands array<bigint>")
+    full = spark.createDataFrame([(name(i), s.tobytes()) for i, s in enumerate(sets)], "node binary, members binary")
+    labelled = spark.createDataFrame([(7, 0, name(i), len(s), b"pivot", roots[i]) for i, s in enumerate(sets)], "bucket bigint, band int, node binary, n bigint, pivot binary, root binary")
+    for slices in (near_dup.SLICE, 100):
+        monkeypatch.setattr(near_dup, "SLICE", slices)
+        dealt = near_dup._dealt(labelled)
+        assert dealt.count() == 1500 + 3 * -(-1503 // slices)
+        links = {frozenset((bytes(r.a), bytes(r.b))) for r in near_dup._remaining_links(labelled, nodes, full).collect()}
+        pairs = {frozenset((roots[i], roots[j])) for i in range(1500, 1503) for j in range(1503) if roots[i] != roots[j]
+                 and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+        assert links <= pairs and {b"main", b"o1500", b"o1501"} == set().union(*links)
 
 
 # lines
