@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from loglathe.llm import decontaminate
 from tests.conftest import MEDIUM
@@ -99,3 +100,93 @@ def test_short_items_below_headings(frame):
         (4, "Intro words\nname two primes\nmore"), (5, "please name two primes now"), (6, "First sentence. Name two primes. Last one."), (7, "What is the city of France?"),
     )
     assert found(docs, [capital, names, short]) == {1: [1], 2: [1], 3: [2], 4: [3], 5: [], 6: [3], 7: []}
+
+
+def judged_by_hand(template, text, item):
+    """One text against one item by comparing tokens at every alignment: share held, or 0."""
+    t, m = template.tokens([text]), template.tokens([item])
+    n, width = len(m.own), min(decontaminate.WINDOW, len(m.own))
+    slots = m.slots[1]
+    alls, clean, broken_all, same = set(), set(), set(), set()
+    for shift in range(-n, len(t.own)):
+        at = lambda p: p + shift
+        own, tpl = set(), set()
+        for p in range(n - width + 1):
+            inside = range(p, p + width)
+            if at(p) < 0 or at(p + width - 1) >= len(t.own):
+                continue
+            if all(t.own[at(q)] == m.own[q] for q in inside):
+                own.add(p)
+            for a in range(2):
+                for b in range(2):
+                    if all(t.shown[a][at(q)] == m.shown[b][q] for q in inside) and 0 < sum(m.slots[b][q] for q in inside) < width:
+                        tpl.add((p, b))
+        fills = {(q, int(m.own[q]), int(m.own[q])) for p in own for q in range(p, p + width) if slots[q]}
+        fills |= {(q, int(m.own[q]), int(t.own[at(q)])) for p, b in tpl for q in range(p, p + width) if m.slots[b][q]}
+        several = {a for _, a, b in fills if len({y for _, x, y in fills if x == a}) > 1}
+        broken = {q for q, a, b in fills if a in several and a != b}
+        kept = {p for p in own | {p for p, _ in tpl} if not any(p <= q < p + width for q in broken)}
+        covered = {q for p in kept for q in range(p, p + width)}
+        if covered:
+            alls |= covered
+            broken_all |= broken
+            clean |= covered if not broken else set()
+            mine = {q for q, a, b in fills if a == b}
+            same |= covered - ({q for q, a, b in fills if a != b} - mine)
+    if not alls or len(same) < decontaminate.MIN_OWN * len(alls):
+        return 0
+    return max(len(clean), len(alls) - len(broken_all - alls)) / n
+
+
+def test_slot_matches_equal_a_search_by_hand(spark):
+    """Items asked again with other values, consistent or not, cut, joined and mixed with other words."""
+    import random
+
+    rng = random.Random(11)
+    words, names = [f"w{i}" for i in range(12)], ["Anna", "Boris", "Clara"]
+    value = lambda: rng.choice([str(rng.randrange(1, 9)), rng.choice(names), f"{rng.randrange(2, 5)} kg", rng.choice("+-*=")])
+    items = [" ".join(rng.choice(words) if rng.random() < 0.6 else value() for _ in range(rng.randint(9, 18))) for _ in range(12)]
+    docs = []
+    for i in range(160):
+        item = rng.choice(items).split()
+        change = {w: value().split()[0] if not w.startswith("w") and rng.random() < 0.7 else w for w in item}
+        asked = [value().split()[0] if w not in words and rng.random() < 0.1 else change[w] for w in item]
+        if rng.random() < 0.3:
+            asked = asked[rng.randrange(len(asked)) :]
+        if rng.random() < 0.3:
+            asked.insert(rng.randrange(len(asked) + 1), rng.choice(words))
+        noise = lambda: [rng.choice(words) if rng.random() < 0.8 else value() for _ in range(rng.randrange(9))]
+        docs.append((i, " ".join([*noise(), *asked, *noise()])))
+    template = decontaminate.Template()
+    expected = {(i, j): judged_by_hand(template, text, item) for i, text in docs for j, item in enumerate(items)}
+    expected = {k: v for k, v in expected.items() if v >= decontaminate.MIN_COVER}
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.covered for r in decontaminate.matches(frame, bench).collect()}
+    assert got == pytest.approx(expected) and 20 < len(got) < 400
+
+
+def test_signs_are_tokens_beside_numbers(frame):
+    asked = "What is 12 + 7 * 3 - 5 ?"
+    docs = frame((1, "What is 15 + 9 * 2 - 4 ?"), (2, "What is 12 - 7 + 3 * 5 ?"), (3, f"Warm up.\n- {asked}"), (4, "List:\n- 5 apples\n- 7 pears"))
+    assert found(docs, [asked]) == {1: [1], 2: [], 3: [1], 4: []}
+
+
+def test_items_of_one_template_are_one_class(spark, monkeypatch):
+    """Forty documents and three hundred items that differ in one number: a match row for each document."""
+    items = [(i, f"A farmer sells {i} eggs on the market every morning and keeps the others for the family at home.") for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, items[i * 7][1]) for i in range(40)] + [(50, items[0][1].replace(" 0 ", " 1000 "))], "doc_id bigint, text string")
+    got = decontaminate.matches(docs, bench).collect()
+    assert {r.doc_id: (r.item_id, r.verbatim) for r in got} == {**{i: (i * 7, True) for i in range(40)}, 50: (0, False)}
+    assert len(got) == 41
+    classes = decontaminate.template_classes(bench).collect()
+    assert len(classes) == 300 and len({r.kind for r in classes}) == 1
+
+
+def test_clashing_columns_of_the_benchmark(spark, frame):
+    item = "The quick brown fox jumps over the lazy dog near the old mill"
+    names = ["kind", "width", "place", "hash", "slots", "tokens", "at", "groups", "is_own", "fills", "name", "row", "doc_id", "text_key"]
+    bench = spark.createDataFrame([(1, item, *["x"] * len(names))], "item_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names))
+    docs = frame((1, f"Look: {item}.")).withColumns({n: F.lit("y") for n in names if n != "doc_id"})
+    assert [(r.doc_id, r.item_ids) for r in decontaminate.report(docs, bench).collect()] == [(1, [1])]
