@@ -1,9 +1,9 @@
 """Exact copies by sorting the content.
 
 Normalised texts are range-partitioned at sampled splitters and sorted, so equal texts
-become neighbours; neighbours are compared in full. The splitters are taken on a short
-prefix, the digest and the id instead of whole texts: the driver's sample stays small,
-texts that share a long opening are still spread, and a group of copies with a third of
+become neighbours; neighbours are compared in full. The splitters are taken on the first
+``PREFIX`` bytes instead of whole texts, so the driver's sample stays small; the digest orders
+only texts that agree in these, so that those are still spread, and a group of copies with a third of
 all rows is cut by id over many tasks. Runs that reach over a partition edge are joined
 afterwards from at most two rows a partition.
 """
@@ -22,11 +22,19 @@ from pyspark.sql import functions as F
 
 from .common import load, materialise
 
+#: Bytes of the normalised text that place it; the digest breaks ties.
+PREFIX = 96
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
+_KEPT = [0, 1, 2]  # id, length and digest: not the text
+
+
 class _Runs:
-    """Runs of equal neighbours in one sorted partition, of which only the last stays open."""
+    """Runs of equal neighbours in one sorted partition, of which only the last stays open.
+
+    What stays open has one text, and of its rows the id, length and digest.
+    """
 
     def __init__(self, schema: pa.Schema, pid: int):
         self.schema, self.pid, self.number, self.open = schema, pid, 0, None
@@ -58,14 +66,14 @@ class _Runs:
         starts = np.concatenate([[0], np.flatnonzero(differs) + 1]).astype(np.int64)
         if self.open is not None and self.open[0] == text[0].as_py():
             end = int(starts[1]) if len(starts) > 1 else n
-            self.open[1].append(batch.slice(0, end))
+            self.open[1].append(batch.select(_KEPT).slice(0, end))
             starts = starts[1:]
         if not len(starts):
             return
         yield from self.close(last=False)
         if self.number == 0:  # the partition's first run goes through close(), for its text
             end = int(starts[1]) if len(starts) > 1 else n
-            self.open = (text[int(starts[0])].as_py(), [batch.slice(int(starts[0]), end - int(starts[0]))])
+            self.open = (text[int(starts[0])].as_py(), [batch.select(_KEPT).slice(int(starts[0]), end - int(starts[0]))])
             starts = starts[1:]
             if not len(starts):
                 return
@@ -79,7 +87,7 @@ class _Runs:
             yield self._emit(rows, rows.column(0).take(pa.array(at)), np.repeat(sizes, sizes), number, pa.nulls(len(at), pa.binary()))
             self.number += len(sizes)
         last = int(starts[-1])
-        self.open = (text[last].as_py(), [batch.slice(last)])
+        self.open = (text[last].as_py(), [batch.select(_KEPT).slice(last)])
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,7 +102,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = docs.select(
         F.col(id_col).alias("id"), F.length(text).alias("n"), F.regexp_replace(text, WHITE_SPACE, "").alias("norm")
     ).select("id", "n", F.unhex(F.sha2("norm", 256)).alias("sha"), F.col("norm").cast("binary").alias("norm"))
-    rows = rows.withColumn("prefix", F.substring("norm", 1, 32))
+    rows = rows.withColumn("prefix", F.substring("norm", 1, PREFIX))
     ordered = rows.repartitionByRange("prefix", "sha", "id").sortWithinPartitions(
         "prefix", "sha", "norm", F.desc("n"), F.asc_nulls_last("id")
     ).select("id", "n", "sha", "norm")

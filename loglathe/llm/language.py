@@ -7,7 +7,6 @@ are separated by what differs between just those two.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -28,8 +27,9 @@ FAMILIES = {
 #: Training rows of a language, about; and buckets of n-grams.
 SAMPLE, BUCKETS = 800, 4096
 UNKNOWN = "und"
+#: What makes a text one of a language, in learning and predicting alike: superscripts and fractions are none.
+LETTER = r"\p{L}"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _KEEP = np.full(256, 32, np.uint8)  # bytes that are no letters count as spaces
 _KEEP[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _KEEP[128:] = np.arange(128, 256)
@@ -104,7 +104,7 @@ def fit(rows: DataFrame, families: dict[str, list[str]] | None = None, sample: i
     The sample's n-gram vectors (16 KB each) come to the driver. Null languages and texts
     without a letter are not learned from; with no row left there is no model.
     """
-    usable = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    usable = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
     counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}  # one row per language
     if not counts:
         return None
@@ -140,7 +140,9 @@ def fit(rows: DataFrame, families: dict[str, list[str]] | None = None, sample: i
 def identify(docs: DataFrame, model: Languages | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` for each row, from the whole text.
 
-    ``und`` with score 0 if the text is null or has no letter, or if there is no model.
+    ``und`` with score 0 if the text is null or has no letter, or if there is no model. Texts of
+    any length are read whole. Repeated rows get equal answers, ties go to the language
+    learned first in alphabetic order. An empty table gives no rows. Other columns are not read.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -149,7 +151,7 @@ def identify(docs: DataFrame, model: Languages | None, id_col: str = "doc_id", t
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 texts = part.column(1).to_pylist()
-                named = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]
+                named = [i for i, t in enumerate(texts) if model and t is not None]
                 out = [(UNKNOWN, 0.0)] * len(texts)
                 if named:
                     vectors = np.array([_vector(texts[i]) for i in named])
@@ -160,7 +162,8 @@ def identify(docs: DataFrame, model: Languages | None, id_col: str = "doc_id", t
                     names=["doc_id", "lang_pred", "score"],
                 )
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double")
+    with_letters = F.when(F.col(text_col).rlike(LETTER), F.col(text_col)).alias("text")
+    return docs.select(F.col(id_col).alias("doc_id"), with_letters).mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double")
 
 
 def op4_family_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,12 +35,15 @@ def _encoding(path: str | None, added_tokens: bool):
     come from the file of the same name that ends in ``.json``.
     """
     import json
+    import sys
+    from types import ModuleType
 
     import public_tokenizers
     import tiktoken
 
     # A task function is unpickled for each task; the worker process keeps what lies in a module.
-    path, kept = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), vars(tiktoken).setdefault("kept_encodings", {})
+    kept = vars(sys.modules.setdefault("loglathe_encodings", ModuleType("loglathe_encodings")))
+    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     if (path, added_tokens) not in kept:
         with open(path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}

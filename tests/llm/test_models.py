@@ -4,6 +4,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from loglathe.llm import language, quality, toxicity
 from tests.conftest import MEDIUM, SMALL
@@ -81,6 +82,15 @@ def test_language_of_odd_rows(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in language.identify(odd_docs, None).collect()} == {"und"}
 
 
+def test_texts_without_letters_have_no_language(spark):
+    """Superscripts, fractions and number signs are no letters; learning and predicting agree."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("text", "lang", F.col("doc_id").alias("key"))
+    model = language.fit(docs)
+    texts = ["²³", "½ ①", "12 %", "_", "x²", "½ ª", "é", "日"]
+    got = {r.doc_id: r.lang_pred for r in language.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model).collect()}
+    assert [got[i] == "und" for i in range(8)] == [True] * 4 + [False] * 4
+
+
 def test_language_levels(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").selectExpr("text", "lang", "doc_id as key")
     model = language.fit(docs)
