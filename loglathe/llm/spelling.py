@@ -35,6 +35,8 @@ DAMAGED = 97
 RATIO = 2
 #: Distinct words that a task counts before it passes counts on.
 HELD_WORDS = 500_000
+#: Bigrams of the words that a task makes keys for.
+TASK_GRAMS = 400_000
 
 _RUN = re.compile("[a-zÀ-ÿ]+")
 
@@ -158,7 +160,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
                     names=["key", "pivot", "last", "word", "n"],
                 )
 
-    keyed = materialise(words.select("word", "n").mapInArrow(keys, "key string, pivot boolean, last int, word string, n bigint"))
+    # Words are few and small beside their keys: more tasks than the table has files.
+    spread = words.select("word", "n").repartition(max(words.sparkSession.sparkContext.defaultParallelism, sum(counts.values()) // TASK_GRAMS))
+    keyed = materialise(spread.mapInArrow(keys, "key string, pivot boolean, last int, word string, n bigint"))
     side = lambda pivot, x: keyed.filter(F.col("pivot") == pivot).select(
         "key", F.col("last").alias(f"last_{x}"), F.col("word").alias(f"word_{x}"), F.col("n").alias(f"n_{x}"))
     one, two = side(True, "a"), side(False, "b")
