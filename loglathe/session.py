@@ -52,7 +52,7 @@ def conf_values(spark: SparkSession, **values):
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder below the shared one named in ``spark.checkpoint.dir``.
+    """A fresh folder below the shared one named in ``spark.checkpoint.dir``, removed when the driver ends.
 
     Only a local master may go without the setting; a cluster job needs storage
     that every executor sees, so it fails here instead of writing to one machine.
@@ -64,7 +64,12 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="loglathe-")
-    return f"{shared.rstrip('/')}/loglathe-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/loglathe-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    filesystem.mkdirs(hadoop_path)
+    filesystem.deleteOnExit(hadoop_path)
+    return path
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -75,10 +80,8 @@ def materialise(df: DataFrame) -> DataFrame:
     when the driver ends, as results that read it may be used until then.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark)
+    path = f"{scratch_dir(spark)}/rows"
     df.write.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return spark.read.schema(df.schema).parquet(path)
 
 
