@@ -1,6 +1,6 @@
 """Token ids in binary files, with keyed access through minimal perfect hashing.
 
-Documents are encoded and sorted by id; each task writes its range of ids into payload files of
+Documents are sorted by id; each task encodes its range of them and writes payload files of
 raw little-endian numbers (16 bits where the vocabulary allows it), each with a file of
 record boundaries. A key index finds a document by its id: keys are dealt to buckets of some
 thousand by hash, and each bucket gets a minimal perfect hash of cascading bit arrays. A key
@@ -16,6 +16,7 @@ its rows name the file, so what a lost or repeated attempt leaves behind is neve
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -46,64 +47,84 @@ _SLOT = np.dtype([("fingerprint", "<u4"), ("file", "<u4"), ("record", "<u8"), ("
 
 
 class Encoder:
-    """Ids of whole texts by ``tokenizers``, from the ids of their words.
-
-    The tokenizer normalises, splits and merges inside words: nothing it does spans ASCII white
-    space, which it drops. So equal words have equal ids wherever they stand; short ones are
-    remembered until there are too many.
+    """Ids of whole texts by ``tokenizers``, from the ids of their parts.
+
+    The tokenizer of ``word_bpe_49k.json`` normalises, splits and merges inside words: nothing it
+    does spans ASCII white space, which it drops. So equal words have equal ids wherever they
+    stand. Words of printable ASCII and the letters of U+00C0 to U+00FF are moreover unchanged
+    by its normaliser but for case, and fall into the parts of its pattern, whose ids its model
+    gives. Short words and parts are remembered until there are too many. A vocabulary
+    with other rules encodes whole texts.
     """
 
-    def __init__(self, path: str | None, most: int = 400_000, longest: int = 48):
+    RULES = {
+        "normalizer": ["NFC", "Replace", "Lowercase"],
+        "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    }
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+    def __init__(self, path: str | None, most: int = 200_000, longest: int = 48):
         import os
 
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
-        self.known, self.most, self.longest = {}, most, longest
+        rules = json.loads(self.tokenizer.to_str())
+        steps = [n.get("type") for n in (rules["normalizer"] or {}).get("normalizers", [])]
+        splits = [p.get("pattern", {}).get("Regex") for p in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        added = [t["content"] for t in rules["added_tokens"]]
+        self.by_word = steps == self.RULES["normalizer"] and splits == [self.RULES["pattern"], None] and all(t.startswith("<|") for t in added)
+        if self.by_word:
+            self.model, spelled = self.tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.letters = {c: spelled.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+            self.data = [i.to_bytes(self.dtype.itemsize, "little") for i in range(max(self.tokenizer.get_vocab(True).values()) + 1)]
+        # What was used since a table was last full, and what was used before that.
+        self.words, self.old_words, self.parts, self.old_parts = {}, {}, {}, {}
+        self.most, self.longest = most, longest
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _part(self, part: str) -> bytes:
+        found = self.old_parts.get(part)
+        if found is None:
+            shown = part if part.isascii() else part.translate(self.letters)
+            found = b"".join([self.data[t.id] for t in self.model.tokenize(shown)])
+        if len(part) <= self.longest:
+            self.parts[part] = found
+        return found
+
+    def _word(self, word: bytes) -> bytes:
+        found = self.old_words.get(word)
+        if found is None:
+            text = word.decode("utf-8", "replace")
+            if "<|" in text or not self.PLAIN.fullmatch(text):
+                found = self._whole([text])[0]
+            else:
+                get = self.parts.get
+                found = b"".join([get(x) or self._part(x) for x in self.PARTS.findall(text.lower())])
+        if len(word) <= self.longest:
+            self.words[word] = found
+        return found
 
     def of(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text as little-endian bytes; null is empty."""
-        split = [(t or b"").split() for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        known, once = self.known, {}
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 1024):
-            part = new[at : at + 1024]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for word, encoded in zip(part, found, strict=True):
-                (known if len(word) <= self.longest else once)[word] = np.array(encoded.ids, self.dtype).tobytes()
-        if not once:
-            return [b"".join([known[w] for w in words]) for words in split]
-        return [b"".join([known[w] if w in known else once[w] for w in words]) for words in split]
-
-
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, vocabulary: str | None = None) -> DataFrame:
-    """``doc_id, text_key, row, n, width, ids`` of each row, stored: ids with ``end_id`` as bytes, ``width`` bytes each."""
-    schema = StructType([
-        StructField("doc_id", docs.schema[id_col].dataType), *StructType.fromDDL("text_key bigint, row bigint, n bigint, width int, ids binary")
-    ])
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
-        width, end = encoder.dtype.itemsize, np.array([end_id], encoder.dtype).tobytes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [found + end for found in encoder.of(part.column(3).to_pylist())]
-                n = pa.array([len(x) // width for x in ids], pa.int64())
-                widths = pa.array([width] * len(ids), pa.int32())
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], n, widths, pa.array(ids, pa.binary())], names=schema.names)
-
-    # Equal rows are told apart by the place they are read at, once and for all as this is stored.
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.monotonically_increasing_id().alias("row"),
-        F.col(text_col).cast("binary").alias("text"),
-    )
-    return materialise(rows.mapInArrow(make, schema))
+        if not self.by_word:
+            return self._whole([(t or b"").decode("utf-8", "replace") for t in texts])
+        out = []
+        for text in texts:
+            if len(self.words) > self.most:
+                self.words, self.old_words = {}, self.words
+            if len(self.parts) > self.most:
+                self.parts, self.old_parts = {}, self.parts
+            known = self.words
+            # An empty entry would be looked up anew; no word is without ids.
+            out.append(b"".join([known.get(w) or self._word(w) for w in (text or b"").split()]))
+        return out
 
 
 # --- payload files
@@ -118,20 +139,27 @@ class IdStore:
     files: tuple[tuple[str, int, int, int], ...]
 
 
-def write_ids(encoded: DataFrame, root: str) -> tuple[IdStore, DataFrame]:
-    """Write encoded rows in ascending order of their id; also ``doc_id, file, record`` of each, stored.
+def write_ids(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
+              vocabulary: str | None = None) -> tuple[IdStore, DataFrame]:
+    """Write the ids of all rows, each ended by ``end_id``, in ascending order of ``id_col``; also ``doc_id, file, record`` of each.
 
     A null id comes first. Rows of one id are ordered by a hash of their text, then as they
-    were read, and may lie in several files. A range of ids is written by one task as it comes.
+    were read, and may lie in several files. A range of rows is encoded and written by one task as it comes.
     """
     keys = ["doc_id", "text_key", "row"]
-    ordered = encoded.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "width", "n", "ids")
-    schema = StructType([encoded.schema["doc_id"], *StructType.fromDDL("part int, number int, name string, record bigint, n bigint, width int")])
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.monotonically_increasing_id().alias("row"),
+        F.col(text_col).cast("binary").alias("text"),
+    )
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
+    schema = StructType([rows.schema["doc_id"], *StructType.fromDDL("part int, number int, name string, record bigint, n bigint, width int")])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         filesystem, base = _filesystem(root)
+        encoder = Encoder(vocabulary)
+        width, end = encoder.dtype.itemsize, np.array([end_id], encoder.dtype).tobytes()
         part, number, out, ends = TaskContext.get().partitionId(), -1, None, []
 
         def close() -> None:
@@ -140,21 +168,22 @@ def write_ids(encoded: DataFrame, root: str) -> tuple[IdStore, DataFrame]:
                 with filesystem.open_output_stream(f"{base}/{name}.idx", compression=None) as f:
                     f.write(np.concatenate([[0], np.cumsum(ends)]).astype("<u8").tobytes())
 
-        for batch in batches:
-            got = {k: [] for k in ("number", "name", "record")}
-            for n, width, ids in zip(*(batch.column(c).to_pylist() for c in ("n", "width", "ids")), strict=True):
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
+            got = {k: [] for k in ("number", "name", "record", "n")}
+            for found in encoder.of(batch.column(1).to_pylist()):
                 if out is None or len(ends) >= FILE_RECORDS or out.tell() >= FILE_BYTES:
                     close()
                     filesystem.create_dir(f"{base}/ids", recursive=True)
                     name, number, ends = f"ids/{uuid.uuid4().hex}", number + 1, []
                     out = filesystem.open_output_stream(f"{base}/{name}.bin", compression=None)
-                for k, v in zip(got, (number, name, len(ends)), strict=True):
+                n = len(found) // width + 1
+                for k, v in zip(got, (number, name, len(ends), n), strict=True):
                     got[k].append(v)
-                out.write(ids)
+                out.write(found + end)
                 ends.append(n)
-            columns = [batch.column("doc_id"), pa.array([part] * batch.num_rows, pa.int32()), pa.array(got["number"], pa.int32())]
-            columns += [pa.array(got["name"], pa.string()), pa.array(got["record"], pa.int64()), batch.column("n"), batch.column("width")]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            columns = [batch.column(0), pa.array([part] * batch.num_rows, pa.int32()), pa.array(got["number"], pa.int32())]
+            columns += [pa.array(got["name"], pa.string()), pa.array(got["record"], pa.int64()), pa.array(got["n"], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([width] * batch.num_rows, pa.int32())], names=schema.names)
         close()
 
     written = materialise(ordered.mapInArrow(write, schema))
@@ -171,7 +200,7 @@ def write_ids(encoded: DataFrame, root: str) -> tuple[IdStore, DataFrame]:
             file = pa.array([order[name] for name in batch.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), file, batch.column(2)], names=["doc_id", "file", "record"])
 
-    places = StructType([encoded.schema["doc_id"], *StructType.fromDDL("file bigint, record bigint")])
+    places = StructType([rows.schema["doc_id"], *StructType.fromDDL("file bigint, record bigint")])
     return store, written.select("doc_id", "name", "record").mapInArrow(number, places)
 
 
@@ -510,7 +539,7 @@ def build_store(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: st
     Texts are encoded whole, each in one task. An empty table gives an empty store. Other
     columns are not read.
     """
-    store, places = write_ids(encode(docs, id_col, text_col, end_id, vocabulary), root)
+    store, places = write_ids(docs, root, id_col, text_col, end_id, vocabulary)
     index = build_index(places, store)
     save(store, index)
     return store, index

@@ -37,11 +37,23 @@ def test_words_stand_for_texts(tokenizer):
     pool = list(" \t\n\x0b\x0c\r\x1c\x1f\x85\xa0 　̈́​'sdtmre<|endoftext|>startof09½²①ÀéßſİΣςǅ日本カ\U0001F600가가-.,!?_A")
     texts = ["".join(rng.choice(pool, rng.integers(0, 60))) for _ in range(4000)]
     texts += ["<|endoftext|> a<|startoftext|>b", "don't we've 'S 'll", "é e ́", "x" * 5000, "ΑΣ ΑΣ. ΑΣΑ"]
-    got = id_store.Encoder(None, most=500).of([t.encode() for t in texts])
+    latin = list("ab's'T'Re'LLdÀÖ×÷ØßéÿĀ0912.,-<|>~!\x7f ")
+    texts += ["".join(rng.choice(latin, rng.integers(0, 40))) for _ in range(6000)]
+    encoder = id_store.Encoder(None, most=500)
+    assert encoder.by_word
+    got = encoder.of([t.encode() for t in texts])
     for text, ids in zip(texts, got, strict=True):
         assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_other_rules_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, whole = id_store.Encoder(path), Tokenizer.from_file(path)
+    text = "two  blanks\n\nand lines"
+    assert not encoder.by_word
+    assert np.frombuffer(encoder.of([text.encode()])[0], encoder.dtype).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_perfect_hash():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 63, 64, 5000):
@@ -60,7 +72,7 @@ def test_odd_rows(spark, odd_docs, no_docs, tokenizer, monkeypatch):
     monkeypatch.setattr(id_store, "FILE_RECORDS", 2)
     monkeypatch.setattr(id_store, "SPAN_RECORDS", 2)
     rows = odd_docs.union(spark.createDataFrame([odd_docs.first().asDict() | {"doc_id": 4, "text": "one"}] * 7, odd_docs.schema)).repartition(3)
-    store, places = id_store.write_ids(id_store.encode(rows), scratch_dir(spark))
+    store, places = id_store.write_ids(rows, scratch_dir(spark))
     index = id_store.build_index(places, store, buckets=5)
     assert max(records for _, records, _, _ in store.files) == 2
     id_store.save(store, index)
