@@ -11,10 +11,13 @@ from pyspark.sql.types import TimestampType
 from .. import operators as op
 from .. import store
 from ..functions.keys import document_id, with_message_key
-from ..session import materialise, scratch_dir
+from ..session import JOB_CONF, conf_values, materialise, scratch_dir
 from ..sources import decode_kafka, load_json_results, read_events, read_log_files
 from ..store import paths
-from ..streaming import ANALYSES, start_all, status, stop, to_files, wait_all
+from ..streaming import (
+    ANALYSES, live_spikes as spikes_of_stream, rank_error, read_rollup, read_summaries, start_all, status, stop, stored_percentiles, stored_top_k,
+    to_files, to_rollups, to_summaries, wait_all,
+)
 from . import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +25,7 @@ QUERIES: dict[str, Query] = {}
 
 STREAM_SLICES = 3
 PERCENTS = (0.5, 0.9, 0.99)
+SPIKES = "window_start timestamp, request_count bigint, baseline double, threshold double"
 
 
 def query(fn: Query) -> Query:
@@ -285,6 +289,74 @@ def stored_events(spark, sf_dir):
     return read_events(spark, f"{base}/events").drop("kafka_timestamp", "hour", "minute")
 
 
+# Live metrics
+
+
+def _in_turns(spark: SparkSession, sf_dir: str, start: Callable) -> str:
+    """Log files that arrive in time order; ``start(events, folder)`` is started and awaited after each delivery."""
+    base = scratch_dir(spark)
+    _slices(spark, sf_dir, base)
+    provider = JOB_CONF["spark.sql.streaming.stateStore.providerClass"]
+    for number in range(STREAM_SLICES):
+        _deliver(spark, base, [number])
+        events = op.parse_clf(read_log_files(spark, f"{base}/logs", streaming=True))
+        with conf_values(spark, spark__sql__streaming__stateStore__providerClass=provider, spark__sql__shuffle__partitions=spark.sparkContext.defaultParallelism):
+            wait_all(spark, {"live": start(events, base)})
+    return base
+
+
+@query
+def live_spikes(spark, sf_dir):
+    """Spikes among the hours that the stream has closed, over three starts."""
+    base = _in_turns(spark, sf_dir, lambda events, base: to_files(
+        spikes_of_stream(events, z=2.0), f"{base}/spikes", f"{base}/checkpoint", available_now=True))
+    return spark.read.schema(SPIKES).parquet(f"{base}/spikes")
+
+
+@query
+def live_spikes_by_url(spark, sf_dir):
+    """Spikes of each page among its six-hour windows; windows without a request count as zero."""
+    base = _in_turns(spark, sf_dir, lambda events, base: to_files(
+        spikes_of_stream(events, "6 hours", 12, 1.5, min_history=8, fill_gaps=True, by=["url"]), f"{base}/spikes", f"{base}/checkpoint", available_now=True))
+    return spark.read.schema(f"url string, {SPIKES}").parquet(f"{base}/spikes")
+
+
+def _summarised(spark: SparkSession, sf_dir: str) -> str:
+    return _in_turns(spark, sf_dir, lambda events, base: to_summaries(
+        events, f"{base}/summaries", f"{base}/checkpoint", available_now=True, width="1 day", by=["status_code"], top=["ip"], values=["content_size"]))
+
+
+@query
+def live_top_ips(spark, sf_dir):
+    """Candidates from the stored sketches of the stream, counted in the events."""
+    base = _summarised(spark, sf_dir)
+    return stored_top_k(read_summaries(spark, f"{base}/summaries"), _parsed(spark, sf_dir).select("ip"), "ip", 20)
+
+
+@query
+def live_percentiles(spark, sf_dir):
+    """Sketched sizes beside the sizes themselves: is each rank within the stated error?"""
+    base = _summarised(spark, sf_dir)
+    found = stored_percentiles(read_summaries(spark, f"{base}/summaries"), "content_size", PERCENTS, ["status_code"])
+    asked = [F.struct(F.lit(p).alias("percent"), F.col(f"p{100 * p:.10g}").alias("answer")) for p in PERCENTS]
+    asked = found.select(F.col("status_code").alias("status"), "value_count", F.explode(F.array(*asked)).alias("a")).select("status", "value_count", "a.*")
+    sizes = _sizes(spark, sf_dir).filter("content_size IS NOT NULL")
+    below = F.sum((F.col("content_size") < F.col("answer")).cast("bigint")) / F.col("value_count")
+    upto = F.sum((F.col("content_size") <= F.col("answer")).cast("bigint")) / F.col("value_count")
+    # Few answers for each status: no pair of rows that is not wanted.
+    met = asked.join(sizes, asked["status"] == sizes["status_code"]).groupBy("status_code", "value_count", "percent").agg(below.alias("below"), upto.alias("upto"))
+    near = (F.col("below") <= F.col("percent") + rank_error()) & (F.col("upto") >= F.col("percent") - rank_error())
+    return met.select("status_code", "value_count", "percent", near.alias("within_error"))
+
+
+@query
+def rollup_stream(spark, sf_dir):
+    """Hours and days of the stream, renewed from changed minutes after each delivery."""
+    base = _in_turns(spark, sf_dir, lambda events, base: to_rollups(events, f"{base}/rollups", f"{base}/checkpoint", keys=["status_code"], available_now=True))
+    levels = [read_rollup(spark, f"{base}/rollups", level).select(F.lit(level).alias("level"), "window_start", "status_code", "request_count") for level in ("minute", "hour", "day")]
+    return levels[0].unionByName(levels[1]).unionByName(levels[2])
+
+
 # Result tables
 
 

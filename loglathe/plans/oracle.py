@@ -159,6 +159,46 @@ GROUP BY 1"""),
 SELECT 'error_logs' AS name, false AS active, 0::BIGINT AS batch_id, count(*) AS input_rows, 0::BIGINT AS refused_rows,
   0::BIGINT AS stopped
 FROM lines"""),
+    "live_spikes": _with("""
+SELECT window_start, request_count, round(mean, 6) AS baseline, round(mean + 2 * deviation, 6) AS threshold
+FROM (
+  SELECT window_start, request_count, n, s::DOUBLE / n AS mean, sqrt((q * n - s * s)::DOUBLE) / n AS deviation
+  FROM (
+    SELECT window_start, request_count, count(*) OVER w AS n, sum(request_count) OVER w AS s,
+      sum(request_count * request_count) OVER w AS q
+    FROM (SELECT date_trunc('hour', timestamp) AS window_start, count(*) AS request_count FROM parsed GROUP BY 1)
+    WINDOW w AS (ORDER BY window_start ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)
+  )
+) WHERE n >= 24 AND request_count > mean + 2 * deviation
+  AND window_start + INTERVAL 62 MINUTE <= (SELECT max(timestamp) FROM parsed)"""),
+    "live_spikes_by_url": _with("""
+SELECT url, window_start, request_count, round(mean, 6) AS baseline, round(mean + 1.5 * deviation, 6) AS threshold
+FROM (
+  SELECT url, window_start, request_count, n, s::DOUBLE / n AS mean, sqrt((q * n - s * s)::DOUBLE) / n AS deviation
+  FROM (
+    SELECT url, window_start, request_count, count(*) OVER w AS n, sum(request_count) OVER w AS s,
+      sum(request_count * request_count) OVER w AS q
+    FROM (
+      SELECT every.url, every.window_start, coalesce(request_count, 0) AS request_count
+      FROM (
+        SELECT url, unnest(generate_series(min(b), max(b), INTERVAL 6 HOUR)) AS window_start
+        FROM (SELECT url, time_bucket(INTERVAL 6 HOUR, timestamp, TIMESTAMP '1970-01-01') AS b FROM parsed) GROUP BY url
+      ) AS every LEFT JOIN (
+        SELECT url, time_bucket(INTERVAL 6 HOUR, timestamp, TIMESTAMP '1970-01-01') AS window_start, count(*) AS request_count
+        FROM parsed GROUP BY 1, 2
+      ) AS seen USING (url, window_start)
+    )
+    WINDOW w AS (PARTITION BY url ORDER BY window_start ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)
+  )
+) WHERE n >= 8 AND request_count > mean + 1.5 * deviation
+  AND window_start + INTERVAL 362 MINUTE <= (SELECT max(timestamp) FROM parsed)"""),
+    "live_top_ips": _with(_top("ip", 20)),
+    "live_percentiles": _with("""
+SELECT status_code, count(content_size) AS value_count, unnest([0.5::DOUBLE, 0.9::DOUBLE, 0.99::DOUBLE]) AS percent, true AS within_error
+FROM parsed WHERE content_size IS NOT NULL GROUP BY status_code"""),
+    "rollup_stream": _with("""
+SELECT level, date_trunc(level, timestamp) AS window_start, status_code, count(*) AS request_count
+FROM parsed, (SELECT unnest(['minute', 'hour', 'day']) AS level) GROUP BY ALL"""),
     "stored_events": _with("""
 SELECT ip, timestamp, method, url, protocol, status_code, content_size, raw_log FROM parsed"""),
     "append_errors": _with(_ERRORS),

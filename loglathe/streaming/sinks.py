@@ -34,33 +34,46 @@ def with_document_id(df: DataFrame, analysis: str) -> DataFrame:
     return df.withColumn("doc_id", document_id(df, analysis))
 
 
-def _start(
+def each_batch(
     df: DataFrame,
     write: Callable[[DataFrame, int], object],
-    analysis: str,
     checkpoint: str,
-    trigger: str,
-    available_now: bool,
-    query_name: str | None,
-    state_partitions: int | None,
+    output_mode: str,
+    trigger: str = TRIGGER,
+    available_now: bool = False,
+    query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
+    """Hand every micro-batch and its number to ``write``; a failing write stops the query."""
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Errors must reach Spark: it stops the query and replays the batch.
         write(batch, batch_id)
 
-    writer = (
-        df.writeStream.foreachBatch(sink)
-        .outputMode(table_for(analysis).output_mode)
-        .queryName(query_name or analysis)
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = df.writeStream.foreachBatch(sink).outputMode(output_mode).option("checkpointLocation", checkpoint)
+    writer = writer.queryName(query_name) if query_name else writer
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
     # The number of state partitions is fixed by the first start.
     with conf_values(df.sparkSession, spark__sql__shuffle__partitions=state_partitions):
         return writer.start()
 
 
-def _checkpoint_query(spark: SparkSession, checkpoint: str) -> str | None:
+def _start(
+    df: DataFrame,
+    write: Callable[[DataFrame, int], object],
+    analysis: str,
+    checkpoint: str,
+    trigger: str,
+    available_now: bool,
+    query_name: str | None,
+    state_partitions: int | None,
+) -> StreamingQuery:
+    mode = table_for(analysis).output_mode
+    return each_batch(df, write, checkpoint, mode, trigger, available_now, query_name or analysis, state_partitions)
+
+
+def query_of(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id of the query a checkpoint belongs to."""
     text = paths.read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
     return json.loads(text)["id"] if text else None
 
@@ -70,7 +83,7 @@ def _claim(spark: SparkSession, analysis: str, root: str, checkpoint: str) -> No
 
     A fresh checkpoint numbers its batches from 0 and would mix with older ones.
     """
-    fed_by, resumed = tables.owner(spark, root, analysis), _checkpoint_query(spark, checkpoint)
+    fed_by, resumed = tables.owner(spark, root, analysis), query_of(spark, checkpoint)
     if fed_by and fed_by != resumed:
         raise ValueError(f"table {analysis} belongs to query {fed_by}, the checkpoint to {resumed}")
     if not fed_by and not resumed and tables.last_batch(spark, root, analysis) != tables.NO_BATCH:
