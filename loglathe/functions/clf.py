@@ -31,6 +31,10 @@ _RESULT = r"(\d++)\s++(\S++)"
 _ONE_PASS = rf"(?s)\A(?:.*?(?<!\S){_CLIENT}{_TIME}{_REQUEST}{_RESULT}(.*+)|.*+)\z"
 _LAYOUT = "$1 $2 $3 $5 $6 $7 $8 $9 $4]"
 
+# The fields of a line in order, and a pattern that takes as many of them from its start as are sound.
+FIELDS = ("client", "log_name", "user", "time", "request", "status", "size")
+_SOUND = r'\A(?:(\S+)(?:\s+(\S+)(?:\s+(\S+)(?:\s+\[([^\]]+)\](?:\s+"([^"]+)"(?:\s+(\d+)(?!\S)(?:\s+(\S+))?)?)?)?)?)?)?'
+
 # Positions in the array that split_line returns.
 IP, LOG_NAME, USER, METHOD, URL, PROTOCOL, STATUS, SIZE, REST = range(9)
 
@@ -47,6 +51,18 @@ def split_line(raw: Column, trailer: bool = False) -> Column:
     return F.split(F.regexp_replace(raw, F.lit(_ONE_PASS), F.lit(layout)), " ", 9)
 
 
+def broken_field(raw: Column) -> tuple[Column, Column]:
+    """The first field that a line, read from its start, has not or not in its form, and the position (from 1) where its sound part ends.
+
+    Null and 1 behind its end for a line with all fields.
+    """
+    sound = [F.regexp_extract(raw, _SOUND, i + 1) != "" for i in range(len(FIELDS))]
+    field = F.lit(None).cast("string")
+    for name, found in reversed(list(zip(FIELDS, sound, strict=True))):
+        field = F.when(~found, name).otherwise(field)
+    return field, F.length(F.regexp_extract(raw, _SOUND, 0)) + 1
+
+
 def request_word(fields: Column, position: int) -> Column:
     """Method, URL or protocol; all are empty when the request starts with a blank."""
     if position == METHOD:

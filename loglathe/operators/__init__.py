@@ -2,7 +2,7 @@
 
 from .errors import error_events, error_trend
 from .locate import check_ranges, locate
-from .parse import add_buckets, format_clf, parse_clf, reject_counts, rejects
+from .parse import add_buckets, format_clf, parse_clf, reject_counts, reject_fields, rejects
 from .reports import (
     agent_stats,
     heat_map,
@@ -29,6 +29,7 @@ __all__ = [
     "parse_clf",
     "referrer_stats",
     "reject_counts",
+    "reject_fields",
     "rejects",
     "request_rate",
     "retain",

@@ -114,6 +114,24 @@ def rejects(df: DataFrame, col: str = "raw_log", keep: Sequence[str] = ()) -> Da
     return scanned.filter(F.col("cause").isNotNull()).select(*keep, "raw_log", "kafka_timestamp", "cause")
 
 
+def reject_fields(df: DataFrame, col: str = "raw_log", keep: Sequence[str] = ()) -> DataFrame:
+    """Rejected lines with the broken ``field`` and its ``position`` in the line, from 1.
+
+    Lines are read from their start; only those already found to be rejects are looked at closer. An
+    unreadable time is ``time`` at its first character; a line that is sound up to a field is broken where it ends.
+    A line that only lacks a field in a place where parsing would skip words before the client is named by its first words.
+    """
+    scanned = _scan_lines(df, col, True, keep).filter(F.col("cause").isNotNull())
+    field, position = clf.broken_field(F.col("raw_log"))
+    bad_time = F.col("cause") == BAD_TIMESTAMP
+    at = F.position(F.concat(F.lit("["), clf.time_text(F.col("_fields")), F.lit("]")), F.col("raw_log"))
+    return scanned.select(
+        *keep, "raw_log", "cause",
+        F.when(bad_time, "time").otherwise(field).alias("field"),
+        F.when(bad_time, at + 1).otherwise(position).cast("bigint").alias("position"),
+    )
+
+
 def reject_counts(df: DataFrame, col: str = "raw_log") -> DataFrame:
     """Number of rejected lines by cause."""
     return rejects(df, col).groupBy("cause").agg(F.count("*").alias("line_count"))

@@ -131,6 +131,19 @@ def reject_counts(spark, sf_dir):
     return op.reject_counts(inputs.raw_lines(spark, sf_dir))
 
 
+@query
+def reject_fields(spark, sf_dir):
+    """Lines with one field after the other damaged on purpose, and what is named as broken."""
+    raw, which = F.col("raw_log"), F.col("event_id") % 8
+    damaged = (
+        F.when(which == 1, "").when(which == 2, F.substring_index(raw, " ", 1)).when(which == 3, F.substring_index(raw, " ", 2))
+        .when(which == 4, F.replace(raw, F.lit("["), F.lit("("))).when(which == 5, F.replace(raw, F.lit('"'), F.lit("'")))
+        .when(which == 6, F.replace(raw, F.lit('" '), F.lit('" x'))).when(which == 7, F.regexp_replace(raw, " [^ ]*$", "")).otherwise(raw)
+    )
+    lines = inputs.raw_lines(spark, sf_dir).filter("event_id % 97 <> 0").select("event_id", damaged.alias("raw_log"))
+    return op.reject_fields(lines, keep=["event_id"]).select("event_id", "cause", "field", "position")
+
+
 # The four analyses
 
 

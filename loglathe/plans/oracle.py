@@ -134,6 +134,13 @@ SELECT cause, count(*) AS line_count FROM (
   SELECT 'no_match' AS cause FROM fields WHERE f.ip = ''
   UNION ALL SELECT 'bad_timestamp' AS cause FROM matched WHERE wall_clock IS NULL
 ) GROUP BY 1"""),
+    "reject_fields": _with("""
+SELECT event_id, CASE WHEN event_id % 8 = 0 THEN 'bad_timestamp' ELSE 'no_match' END AS cause,
+  ['time', 'client', 'log_name', 'user', 'time', 'request', 'status', 'size'][event_id % 8 + 1] AS field,
+  CASE event_id % 8 WHEN 0 THEN strpos(raw_log, '[') + 1 WHEN 1 THEN 1 WHEN 2 THEN strpos(raw_log, ' ') WHEN 3 THEN strpos(raw_log, ' ') + 2
+    WHEN 4 THEN strpos(raw_log, ' [') WHEN 5 THEN strpos(raw_log, ']') + 1 WHEN 6 THEN strpos(raw_log, '" ') + 1
+    ELSE length(regexp_replace(raw_log, ' [^ ]*$', '')) + 1 END AS position
+FROM lines WHERE event_id % 97 <> 0 AND (event_id % 8 <> 0 OR event_id % 101 = 0)"""),
     "error_events": _with(_ERRORS),
     "traffic_minute": _with(_TRAFFIC),
     "ip_activity": _with(_IPS),

@@ -172,3 +172,19 @@ def test_message_key(spark):
         ("1.2.3.4", "1.2.3.4 - x"), ("unknown", "host.name - x"), ("mine", "1.2.3.4 y"), ("unknown", "x 1.2.3.4")
     ]
     assert [r["key"] for r in with_message_key(df, host=True).collect()] == ["1.2.3.4", "host.name", "1.2.3.4", "x"]
+
+
+def test_the_broken_field_is_named(spark, lines):
+    """Every field damaged in turn, with blanks and lines that are no log lines at all."""
+    from loglathe import reject_fields
+
+    start = '1.2.3.4 - - [01/Jul/1995:00:00:06 -0400] "GET /x HTTP/1.0" '
+    expected = {
+        "": ("client", 1), "1.2.3.4": ("log_name", 8), "1.2.3.4  -": ("user", 11), "1.2.3.4 - -": ("time", 12), "1.2.3.4 - - 01/Jul": ("time", 12),
+        "1.2.3.4 - - []": ("time", 12), start[:40] + " GET": ("request", 41), start[:40] + ' "" 400 0': ("request", 41), start + "abc 12": ("status", len(start)),
+        start + "20x 12": ("status", len(start)), start + "200": ("size", len(start) + 3 + 1), start + "200 ": ("size", len(start) + 4),
+        "1.2.3.4 - - [never] \"GET /\" 200 1": ("time", 14), "1.2.3.4 - - [30/Feb/1995:00:00:06 -0400] \"GET /\" 200 1": ("time", 14),
+    }
+    frame = lines(*expected, start + "200 1")
+    got = {r.raw_log: (r.field, r.position) for r in reject_fields(frame).collect()}
+    assert got == expected
