@@ -399,7 +399,7 @@ def append_counts(spark, sf_dir):
     )
     refused = store.read_refused(spark, "error_logs", root).agg(F.count("*").alias("kept"))
     counts = [F.lit(n).cast("bigint").alias(name) for n, name in zip(result, ("written", "failed"), strict=True)]
-    return found.join(refused).select(*counts, "stored", "stamped", "kept")  # one row each
+    return found.select(*counts, "stored", "stamped", refused.scalar().alias("kept"))
 
 
 @query
