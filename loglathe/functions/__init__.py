@@ -12,7 +12,7 @@ from .clf import (
     split_line,
 )
 from .keys import document_id, message_key, stamp, strip, with_message_key
-from .network import ipv4_to_long
+from .network import ip_key, ipv4_to_long
 
 __all__ = [
     "CLF_PATTERN",
@@ -22,6 +22,7 @@ __all__ = [
     "device",
     "document_id",
     "hour_bucket",
+    "ip_key",
     "ipv4_to_long",
     "message_key",
     "minute_bucket",

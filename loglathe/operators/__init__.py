@@ -1,7 +1,7 @@
 """Operators: DataFrame in, DataFrame out."""
 
 from .errors import error_events, error_trend
-from .locate import check_ranges, locate
+from .locate import check_ranges, locate, locate_networks
 from .parse import add_buckets, format_clf, parse_clf, reject_counts, reject_fields, rejects
 from .reports import (
     agent_stats,
@@ -12,7 +12,7 @@ from .reports import (
     top_k,
     value_percentiles,
 )
-from .tables import latest_per_key, retain, search, search_text, table_stats, upsert
+from .tables import latest_per_key, retain, search, search_ranked, search_text, table_stats, upsert
 from .windows import ip_activity, request_rate, traffic, url_activity, windowed_count
 
 __all__ = [
@@ -26,6 +26,7 @@ __all__ = [
     "ip_activity",
     "latest_per_key",
     "locate",
+    "locate_networks",
     "parse_clf",
     "referrer_stats",
     "reject_counts",
@@ -34,6 +35,7 @@ __all__ = [
     "request_rate",
     "retain",
     "search",
+    "search_ranked",
     "search_text",
     "spikes",
     "status_distribution",

@@ -1,4 +1,4 @@
-"""Client location from a table of IPv4 ranges."""
+"""Client location from a table of IPv4 ranges, or of networks of both families."""
 
 from __future__ import annotations
 
@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.network import ipv4_to_long
+from ..functions.network import ip_key, ipv4_to_long, prefix_mask
 from ..session import materialise
 
+#: What an address of either family is written with; all else is a host name.
+ADDRESS_TEXT = r"^[0-9A-Fa-f:.]+$"
+
 
 def _bounds(ranges: DataFrame) -> DataFrame:
     """Ranges as (first, last, place) with numeric, inclusive ends."""
@@ -101,3 +104,63 @@ def locate(df: DataFrame, ranges: DataFrame, col: str = "ip") -> DataFrame:
     )
     located = located.join(whole, F.col("_block16") == F.col("block16"), "left")
     return located.select(*[F.col(f"`{name}`") for name in df.columns], F.coalesce("place24", "place16").alias("place"))
+
+
+def _masked(key: Column, length: int) -> Column:
+    """The prefix of ``length`` bits of an address."""
+    high, low = prefix_mask(length)
+    return F.struct(
+        F.lit(length).alias("bits"),
+        key["high"].bitwiseAND(F.lit(high).cast("bigint")).alias("high"),
+        key["low"].bitwiseAND(F.lit(low).cast("bigint")).alias("low"),
+    )
+
+
+def _prefixes(networks: DataFrame) -> DataFrame:
+    """Networks as (bits, high, low, place); refuses malformed ones and prefixes given twice."""
+    base, length = F.split_part("network", F.lit("/"), F.lit(1)), F.split_part("network", F.lit("/"), F.lit(2))
+    mapped = F.when(base.contains(":"), 0).otherwise(96)
+    longest = F.when(base.contains(":"), 128).otherwise(32)
+    # Without a length a network is one address.
+    given = F.when(F.col("network").contains("/"), F.when(length.rlike(r"^\d{1,3}$"), length.cast("int"))).otherwise(longest)
+    rows = networks.select("network", "place", ip_key(base).alias("key"), given.alias("given"), mapped.alias("mapped"), longest.alias("longest"))
+    rows = rows.withColumn("bits", F.when(F.col("given") <= F.col("longest"), F.col("given") + F.col("mapped")))
+    masks = F.array(*[F.struct(*[F.lit(half).cast("bigint").alias(n) for half, n in zip(prefix_mask(b), ("high", "low"))]) for b in range(129)])
+    rows = rows.withColumn("mask", F.get(masks, F.col("bits")))
+    mask = F.col("mask")
+    inside = (F.col("key.high").bitwiseAND(mask["high"]) == F.col("key.high")) & (F.col("key.low").bitwiseAND(mask["low"]) == F.col("key.low"))
+    rows = materialise(rows.select(
+        "network", "place", "bits", "key.high", "key.low",
+        F.coalesce((F.size(F.split("network", "/")) <= 2) & inside, F.lit(False)).alias("fine"),
+    ))
+    malformed = rows.filter(~F.col("fine")).select(F.concat_ws(" ", F.lit("malformed network:"), "network"))
+    twice = rows.filter("fine").groupBy("bits", "high", "low").agg(F.count("*").alias("n"), F.min("network").alias("network"))
+    problem = malformed.union(twice.filter("n > 1").select(F.concat(F.lit("network given twice: "), "network"))).first()
+    if problem:
+        raise ValueError(problem[0])
+    return rows.select("bits", "high", "low", "place")
+
+
+def locate_networks(df: DataFrame, networks: DataFrame, col: str = "ip") -> DataFrame:
+    """Add the ``place`` of each client of either family: that of the longest network that holds it.
+
+    ``networks`` has ``network`` (``10.0.0.0/8``, ``2001:db8::/32``, or one address) and ``place``;
+    networks may lie inside each other. IPv4 is looked up in its mapped form ``::ffff:a.b.c.d``, so
+    such clients match IPv4 networks too. Null for host names and for addresses outside of all.
+
+    Each distinct address is read and looked up once, whatever its share of the rows, with one
+    equality join on its prefixes of just the lengths that occur in the table (129 at most). Host
+    names get join keys of their own, so they do not meet in one task.
+    """
+    prefixes = _prefixes(networks.select("network", "place"))
+    lengths = sorted(r["bits"] for r in prefixes.select("bits").distinct().collect())  # 129 rows at most
+    if not lengths:
+        return df.select(*[F.col(f"`{name}`") for name in df.columns], F.lit(None).cast("string").alias("place"))
+    client = F.col(f"`{col}`")
+    clients = df.select(client.alias("_client")).filter(client.rlike(ADDRESS_TEXT)).distinct().withColumn("key", ip_key(F.col("_client")))
+    tried = clients.select("_client", F.inline(F.array(*[_masked(F.col("key"), n) for n in lengths])))
+    found = tried.join(prefixes, ["bits", "high", "low"]).groupBy("_client").agg(F.max_by("place", "bits").alias("_place"))
+    own = F.concat(F.lit("-"), F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]))
+    rows = df.withColumn("_lookup", F.when(client.rlike(ADDRESS_TEXT), client).otherwise(own))
+    located = rows.join(found, F.col("_lookup") == F.col("_client"), "left")
+    return located.select(*[F.col(f"`{name}`") for name in df.columns], F.col("_place").alias("place"))

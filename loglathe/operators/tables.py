@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 from datetime import date, datetime
@@ -42,6 +43,59 @@ def search_text(df: DataFrame, cols: Sequence[str], terms: Sequence[str] | str,
     return df.filter(condition)
 
 
+def search_ranked(
+    df: DataFrame,
+    cols: Sequence[str],
+    terms: Sequence[str] | str,
+    size: int = 10,
+    order_by: Sequence[Column | str] = (),
+    k1: float = 1.2,
+    b: float = 0.75,
+) -> DataFrame:
+    """The ``size`` best rows for the terms, with a ``score``; rows with none of them are left out.
+
+    A term of several words is a phrase: it counts where they follow each other. The score is
+    the BM25 sum over terms: ``ln(1 + (N - n + 0.5) / (n + 0.5)) * f * (k1 + 1) / (f + k1 * (1 - b + b * len / avg))``
+    with f occurrences in a row of len words, n rows that hold the term, N rows of avg words. Words are
+    those of :func:`search_text`; the text columns are taken together. Equal scores follow ``order_by``.
+
+    Two passes: one aggregate for the statistics (one row, two numbers and one for each term), then
+    the best rows of each task are merged. Nothing is shuffled by row.
+    """
+    given = [terms] if isinstance(terms, str) else list(terms)
+    phrases = list(dict.fromkeys(tuple(w for w in re.split(r"[\W_]+", t.lower()) if w) for t in given))
+    phrases = [p for p in phrases if p]
+    if not phrases:
+        raise ValueError("no search term given")
+    clash = [c for c in df.columns if c == "score" or c.startswith("_search_")]
+    if clash:
+        raise ValueError(f"columns {clash} are taken by the search")
+
+    def count(phrase: tuple[str, ...]) -> Column:
+        def here(word: Column, i: Column) -> Column:
+            hit = word == phrase[0]
+            for step, other in enumerate(phrase[1:], 1):
+                hit = hit & F.coalesce(F.get("_search_words", i + step) == other, F.lit(False))
+            return hit
+
+        return F.size(F.filter("_search_words", here))
+
+    text = F.lower(F.concat_ws(" ", *[F.col(f"`{c}`") for c in cols]))
+    names = [f"_search_{i}" for i in range(len(phrases))]
+    rows = df.withColumn("_search_words", F.filter(F.split(text, r"[^\p{L}\p{N}\p{M}]+"), lambda w: w != ""))
+    rows = rows.withColumns({"_search_len": F.size("_search_words"), **{n: count(p) for n, p in zip(names, phrases)}})
+    stats = rows.agg(
+        F.count("*").alias("rows"), F.avg("_search_len").alias("words"), *[F.count_if(F.col(n) > 0).alias(n) for n in names]
+    ).first()
+    length = 1 - b + b * F.col("_search_len") / F.lit(stats["words"] or 1.0)
+    parts = []
+    for n in names:
+        weight = math.log(1 + (stats["rows"] - stats[n] + 0.5) / (stats[n] + 0.5))
+        parts.append(F.lit(weight) * F.col(n) * (k1 + 1) / (F.col(n) + k1 * length))
+    hits = rows.filter(F.greatest(*names, F.lit(0)) > 0).withColumn("score", sum(parts[1:], parts[0]))
+    return hits.select(*[F.col(f"`{c}`") for c in df.columns], "score").orderBy(F.desc("score"), *order_by).limit(size)
+
+
 def table_stats(df: DataFrame, ts_col: str) -> DataFrame:
     """Row count and covered time of a table, one row."""
     return df.agg(

@@ -508,6 +508,13 @@ def search_text_scripts(spark, sf_dir):
     return op.search_text(events.withColumn("url", section), ["url"], "новости café").select("ip", "timestamp", "url")
 
 
+@query
+def search_ranked(spark, sf_dir):
+    events = _parsed(spark, sf_dir, combined=True).select("ip", "timestamp", "url", "agent")
+    best = op.search_ranked(events, ["url", "agent"], ["firefox", "purchase 3", "linux"], 200, ["timestamp", "ip", "url", "agent"])
+    return best.withColumn("score", F.round("score", 6))
+
+
 @query
 def table_stats(spark, sf_dir):
     return op.table_stats(op.error_events(_parsed(spark, sf_dir)), "timestamp")
@@ -608,3 +615,10 @@ def value_percentiles_by_cell(spark, sf_dir):
 def locate(spark, sf_dir):
     events = _parsed(spark, sf_dir).select("ip", "timestamp", "url")
     return op.locate(events, inputs.ip_ranges(spark, sf_dir))
+
+
+@query
+def locate_networks(spark, sf_dir):
+    """Clients of both families, nested networks."""
+    events = inputs.mixed_clients(_parsed(spark, sf_dir).select("ip", "timestamp", "url"))
+    return op.locate_networks(events, inputs.networks(spark, sf_dir), "client")

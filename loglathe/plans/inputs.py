@@ -88,3 +88,23 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     first = F.lit(10 * 256**3).cast("bigint") + F.col("n_nationkey") * 6
     return nation.select(first.alias("start"), (first + 5).alias("end"), F.col("n_name").alias("place"))
+
+
+def mixed_clients(events: DataFrame) -> DataFrame:
+    """Events with ``client``: IPv6 for odd pages, the mapped form for every tenth, else IPv4."""
+    user = F.split_part("ip", F.lit("."), F.lit(3)).try_cast("int") * 256 + F.split_part("ip", F.lit("."), F.lit(4)).try_cast("int")
+    page = F.substring_index("url", "/", -1).try_cast("int")
+    v6 = F.concat(F.lit("2001:DB8:"), F.hex(user % 25), F.lit("::"), F.hex(user))
+    client = F.when(page % 2 == 1, v6).when(page % 10 == 0, F.concat(F.lit("::ffff:"), "ip")).otherwise(F.col("ip"))
+    return events.withColumn("client", client)
+
+
+def networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Networks of both families inside each other: all, then nations, then the first addresses of regions."""
+    nation, region = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("nation", "region"))
+    k = F.col("n_nationkey")
+    outer = spark.createDataFrame([("10.0.0.0/8", "private"), ("2001:db8::/32", "documentation")], "network string, place string")
+    v4 = nation.select(F.concat(F.lit("10.0.0."), k * 8, F.lit("/29")).alias("network"), F.col("n_name").alias("place"))
+    v6 = nation.filter(k % 2 == 0).select(F.concat(F.lit("2001:db8:"), F.hex(k), F.lit("::/48")), "n_name")
+    first = region.select(F.concat(F.lit("2001:db8:"), F.hex(F.col("r_regionkey") * 2), F.lit("::/124")), "r_name")
+    return outer.union(v4).union(v6).union(first)

@@ -246,6 +246,24 @@ SELECT ip, timestamp, url, agent FROM (
 ) WHERE list_contains(words, 'firefox') AND list_contains(words, 'purchase')""", combined=True),
     "search_text_scripts": _with("""
 SELECT ip, timestamp, '/Новости/Café' || url AS url FROM parsed WHERE url LIKE '%5'"""),
+    "search_ranked": _with("""
+SELECT ip, timestamp, url, agent, round(
+    ln(1 + (total - n0 + 0.5) / (n0 + 0.5)) * f0 * 2.2 / (f0 + 1.2 * (0.25 + 0.75 * size / mean))
+  + ln(1 + (total - n1 + 0.5) / (n1 + 0.5)) * f1 * 2.2 / (f1 + 1.2 * (0.25 + 0.75 * size / mean))
+  + ln(1 + (total - n2 + 0.5) / (n2 + 0.5)) * f2 * 2.2 / (f2 + 1.2 * (0.25 + 0.75 * size / mean)), 6)::DOUBLE AS score
+FROM (
+  SELECT *, count(*) OVER ()::DOUBLE AS total, avg(size) OVER () AS mean, count_if(f0 > 0) OVER ()::DOUBLE AS n0,
+    count_if(f1 > 0) OVER ()::DOUBLE AS n1, count_if(f2 > 0) OVER ()::DOUBLE AS n2
+  FROM (
+    SELECT *, len(words)::DOUBLE AS size, len(list_filter(words, lambda w: w = 'firefox'))::DOUBLE AS f0,
+      len(list_filter(range(1, len(words)), lambda i: words[i] = 'purchase' AND words[i + 1] = '3'))::DOUBLE AS f1,
+      len(list_filter(words, lambda w: w = 'linux'))::DOUBLE AS f2
+    FROM (
+      SELECT *, list_filter(string_split_regex(lower(concat_ws(' ', url, agent)), '[^a-z0-9]+'), lambda w: w <> '') AS words FROM parsed
+    )
+  )
+) WHERE f0 + f1 + f2 > 0
+ORDER BY score DESC, timestamp, ip, url, agent LIMIT 200""", combined=True),
     "table_stats": _with("""
 SELECT count(*) AS row_count, min(timestamp) AS first_time, max(timestamp) AS last_time
 FROM parsed WHERE status_code >= 400"""),
@@ -322,4 +340,20 @@ FROM (
     + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT) AS address
   FROM parsed
 ) LEFT JOIN nation ON address BETWEEN 167772160 + n_nationkey * 6 AND 167772160 + n_nationkey * 6 + 5"""),
+    "locate_networks": _with("""
+SELECT ip, timestamp, url, client, CASE
+    WHEN page % 2 = 1 THEN coalesce(r_name, CASE WHEN part % 2 = 0 THEN inside.n_name END, 'documentation')
+    ELSE coalesce(of_eight.n_name, 'private') END AS place
+FROM (
+  SELECT *, person % 25 AS part, CASE WHEN page % 2 = 1 THEN '2001:DB8:' || to_hex(person % 25) || '::' || to_hex(person)
+    WHEN page % 10 = 0 THEN '::ffff:' || ip ELSE ip END AS client
+  FROM (
+    SELECT *, CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT) AS person,
+      CAST(regexp_extract(url, '[0-9]+$') AS BIGINT) AS page
+    FROM parsed
+  )
+)
+LEFT JOIN region ON r_regionkey * 2 = part AND person < 16
+LEFT JOIN nation AS inside ON inside.n_nationkey = part
+LEFT JOIN nation AS of_eight ON person BETWEEN of_eight.n_nationkey * 8 AND of_eight.n_nationkey * 8 + 7"""),
 }
