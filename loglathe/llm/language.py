@@ -141,8 +141,8 @@ def identify(docs: DataFrame, model: Languages | None, id_col: str = "doc_id", t
     """``doc_id, lang_pred, score`` for each row, from the whole text.
 
     ``und`` with score 0 if the text is null or has no letter, or if there is no model. Texts of
-    any length are read whole. Repeated rows get equal answers, ties go to the language
-    learned first in alphabetic order. An empty table gives no rows. Other columns are not read.
+    any length are read whole. Repeated rows get equal answers, of equal
+    votes and margins the code that sorts last wins. An empty table gives no rows. Other columns are not read.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 

@@ -1,8 +1,13 @@
 """The trained operators: held-out accuracy, odd rows, and learning from nothing."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
+from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +138,105 @@ def test_views_teach_each_other(spark):
     got = quality.classify(docs, labels).collect()
     assert sum((r.text_score >= 0.5) == (r.doc_id % 2 == 0) for r in got) / len(got) > 0.97
     assert sum((r.score >= 0.5) == (r.doc_id % 2 == 0) for r in got) / len(got) > 0.97
+
+
+def test_toxicity_scores_equal_plain_sums(bags, odd_docs):
+    """Each score again from the fitted weights: a word at a time, sentence probabilities multiplied out."""
+    model = toxicity.fit(toxicity.sample_labels(bags, bags.select("doc_id", "toxic"), "toxic"))
+    for docs in (bags, odd_docs.select("doc_id", "text")):
+        truth = Counter()
+        for r in docs.collect():
+            harmless, bad, best = 1.0, [], None
+            for m in re.finditer(r"[^.!?\n]+[.!?]*", r.text or ""):
+                z = model.bias
+                for word in set(re.findall(r"\w+", m.group().lower())):
+                    for name in [f"={word}"] + [f"^{word[:n]}" for n in (3, 4, 5, 6) if n < len(word)]:
+                        z += model.weights.get(zlib.crc32(name.encode()), 0.0)
+                p = 1 / (1 + math.exp(-z))
+                harmless *= 1 - p
+                bad += [m.span()] if p >= 0.5 else []
+                best = max(best or (p, m.span()), (p, m.span()), key=lambda b: b[0])
+            score = 1 - harmless if best else 0.0
+            truth[r.doc_id, round(score, 6), tuple(bad) or ((best[1],) if score >= 0.5 else ())] += 1
+        got = Counter((r.doc_id, round(r.score, 6), tuple((o.begin, o.end) for o in r.offending)) for r in toxicity.score(docs, model).collect())
+        assert got == truth
+
+
+def test_languages_equal_recounted_votes(spark):
+    """N-grams counted one by one, the family with the largest margin, then the votes of its pairs."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").selectExpr("text", "lang", "doc_id as key")
+    model = language.fit(docs, {"mixed": ["en", "fr", "de"]})
+    assert len(model.pairs) == 3 and len(model.families) == 2
+    rows = [r for r in docs.collect() if r.text and len(r.text) < 5000 and re.search(r"[^\W\d_]", r.text)]
+    got = {r.doc_id: r for r in language.identify(docs.selectExpr("key doc_id", "text"), model).collect()}
+    compared = 0
+    for r in rows:
+        data = [b if 97 <= b <= 122 or b >= 128 else 32 for b in f" {r.text.lower()} ".encode()]
+        counts = Counter()
+        for n in (1, 2, 3):
+            for gram in zip(*[data[i:] for i in range(n)]):
+                value = int.from_bytes(bytes(gram), "big") + (n << 27)
+                counts[(value * 2654435761 % 2**32) >> 20] += 1
+        size = math.sqrt(sum(counts.values()))
+        margin = lambda w: float(w[-1]) + sum(math.sqrt(c) / size * float(w[k]) for k, c in counts.items())
+        family, best = max(zip(model.families, map(margin, model.family_weights), strict=True), key=lambda f: f[1])
+        duels = {(a, b): margin(model.pairs[a, b]) for a, b in combinations(model.families[family], 2)}
+        votes = Counter(a if s >= 0 else b for (a, b), s in duels.items())
+        won = max(model.families[family], key=lambda code: votes[code])
+        if not duels or votes[won] == 2:  # no circle of three
+            compared += 1
+            inside = min((abs(s) for pair, s in duels.items() if won in pair), default=math.inf)
+            assert got[r.key].lang_pred == won
+            assert got[r.key].score == pytest.approx(1 / (1 + math.exp(-3 * best)) / (1 + math.exp(-3 * inside)), abs=1e-3)
+    assert compared > 0.9 * len(rows)
+
+
+def test_quality_equals_steps_over_whole_arrays(spark):
+    """The rounds again on arrays that hold all rows: fit, trust, teach, calibrate, add."""
+    docs, labels = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    rows = quality.features(docs).collect()
+    given = {r.doc_id: float(r.quality) for r in labels.collect() if r.quality is not None}
+    pick = lambda parts: np.array([given.get(r.doc_id, np.nan) if crc(r.doc_id, 5) in parts else np.nan for r in rows])
+    label, check = pick({2, 3, 4}), pick({1})
+    known, checked = ~np.isnan(label), ~np.isnan(check)
+    free = ~known & ~checked
+    views = ("text", "page")
+    z = {}
+    for view in views:
+        x = np.array([r[f"{view}_x"] for r in rows])
+        z[view] = np.c_[(x - x.mean(axis=0)) / (x.std(axis=0) + 1e-6), np.ones(len(x))]
+    sigmoid = lambda m: 1 / (1 + np.exp(-np.clip(m, -30, 30)))
+
+    def newton(design, target, weight, w):
+        p = sigmoid(design @ w)
+        hessian = design.T @ np.diag(weight * p * (1 - p)) @ design + 0.1 * np.eye(len(w))
+        step = np.linalg.solve(hessian, design.T @ (weight * (p - target)) + 0.1 * w)
+        return w - step * min(1, 5 / np.abs(step).max())
+
+    w = {v: np.zeros(z[v].shape[1]) for v in views}
+    taught = 0
+    for turn in range(3):
+        sure = {}
+        for view in views:
+            p = sigmoid(z[view] @ w[view])
+            sure[view] = np.full(len(rows), np.nan)
+            for says, answer in ((p <= 0.02, 0.0), (p >= 0.98, 1.0)):
+                right = (check[says & checked] == answer).sum()
+                if turn and (says & checked).sum() >= 5 and right >= 0.95 * (says & checked).sum():
+                    sure[view][says & free] = answer
+            taught += (~np.isnan(sure[view])).sum()
+        for _ in range(3 if turn else 8):
+            new = {}
+            for view, other in (views, views[::-1]):
+                target = np.where(known, label, sure[other])
+                new[view] = newton(z[view], np.nan_to_num(target), (~np.isnan(target)).astype(float), w[view])
+            w = new
+    assert taught > 0
+    odds = -np.log((label == 1).sum() / (label == 0).sum())
+    for view in views:
+        margin, line = z[view] @ w[view], np.array([1.0, 0.0])
+        for _ in range(4):
+            line = newton(np.c_[np.clip(margin, -30, 30), np.ones(len(rows))], np.nan_to_num(check), checked.astype(float), line)
+        odds = odds + line[0] * margin + line[1]
+    got = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    assert np.allclose([got[r.doc_id] for r in rows], 1 / (1 + np.exp(-odds)), atol=1e-4)
