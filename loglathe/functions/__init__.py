@@ -1,6 +1,6 @@
 """Column functions; all of them stay inside the JVM."""
 
-from .agents import browser, device, referrer_host
+from .agents import agent_details, browser, device, referrer_host
 from .clf import (
     CLF_PATTERN,
     CLF_TIME_FORMAT,
@@ -17,6 +17,7 @@ from .network import ip_key, ipv4_to_long
 __all__ = [
     "CLF_PATTERN",
     "CLF_TIME_FORMAT",
+    "agent_details",
     "browser",
     "clf_line",
     "device",

@@ -6,6 +6,7 @@ from .parse import add_buckets, format_clf, parse_clf, reject_counts, reject_fie
 from .reports import (
     agent_stats,
     heat_map,
+    product_stats,
     referrer_stats,
     spikes,
     status_distribution,
@@ -28,6 +29,7 @@ __all__ = [
     "locate",
     "locate_networks",
     "parse_clf",
+    "product_stats",
     "referrer_stats",
     "reject_counts",
     "reject_fields",

@@ -74,6 +74,13 @@ def agent_stats(df: DataFrame) -> DataFrame:
     ).agg(F.sum("n").alias("request_count"))
 
 
+def product_stats(df: DataFrame) -> DataFrame:
+    """Requests by product, platform and their versions, read from the ``agent`` column; null means none was sent."""
+    agent_counts = df.groupBy("agent").agg(F.count("*").alias("n"))
+    details = agent_counts.select("n", agents.agent_details(F.col("agent")).alias("d")).select("n", "d.*")
+    return details.groupBy("product", "version", "platform", "platform_version", "bot").agg(F.sum("n").alias("request_count"))
+
+
 def referrer_stats(df: DataFrame) -> DataFrame:
     """Requests by host of the ``referrer`` column; null means none was sent."""
     return df.groupBy(agents.referrer_host(F.col("referrer")).alias("referrer_host")).agg(

@@ -574,6 +574,11 @@ def agent_stats(spark, sf_dir):
     return op.agent_stats(_parsed(spark, sf_dir, combined=True))
 
 
+@query
+def product_stats(spark, sf_dir):
+    return op.product_stats(_parsed(spark, sf_dir, combined=True))
+
+
 @query
 def referrer_stats(spark, sf_dir):
     return op.referrer_stats(_parsed(spark, sf_dir, combined=True))

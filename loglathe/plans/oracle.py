@@ -13,6 +13,11 @@ def _case(index: str, texts: list[str]) -> str:
 # The agents of the test lines, in order, with the classes a person would give them.
 _AGENT_CLASSES = [("Chrome", "Desktop"), ("Firefox", "Desktop"), ("Safari", "Mobile"), ("Bot", "Bot"), ("None", "None")]
 
+# Product, version, platform and its version of the same agents, as a person reads them.
+_AGENT_DETAILS = [
+    "Chrome|120.0.0.0|Windows|10.0|false", "Firefox|121.0|Linux||false", "Safari|17.2|iOS|17.2|false", "ExampleBot|2.1|||true", "||||",
+]
+
 
 def _class(index: int) -> str:
     return _case("user_id", [classes[index] for classes in _AGENT_CLASSES])
@@ -300,6 +305,12 @@ FROM parsed GROUP BY 1, 2"""),
     "agent_stats": _with(f"""
 SELECT {_class(0)} AS browser, {_class(1)} AS device, count(*) AS request_count
 FROM parsed JOIN requests USING (event_id) GROUP BY 1, 2""", combined=True),
+    "product_stats": _with(f"""
+SELECT nullif(d[1], '') AS product, nullif(d[2], '') AS version, nullif(d[3], '') AS platform,
+  nullif(d[4], '') AS platform_version, CAST(nullif(d[5], '') AS BOOLEAN) AS bot, count(*) AS request_count
+FROM (
+  SELECT string_split({_case('user_id', _AGENT_DETAILS)}, '|') AS d FROM parsed JOIN requests USING (event_id)
+) GROUP BY 1, 2, 3, 4, 5""", combined=True),
     "referrer_stats": _with("""
 SELECT lower(regexp_extract(referrer, '^https://([^/]+)', 1)) AS referrer_host, count(*) AS request_count
 FROM parsed GROUP BY 1""", combined=True),

@@ -16,6 +16,7 @@ from loglathe import (
     error_trend,
     locate,
     locate_networks,
+    product_stats,
     referrer_stats,
     retain,
     search,
@@ -28,7 +29,7 @@ from loglathe import (
     upsert,
     value_percentiles,
 )
-from loglathe.functions import ip_key
+from loglathe.functions import agent_details, ip_key
 from loglathe.operators import reports
 
 
@@ -443,3 +444,37 @@ def test_ranked_search_without_rows_or_terms(spark):
             search_ranked(df, ["text"], wrong)
     with pytest.raises(ValueError, match="taken"):
         search_ranked(df.selectExpr("text", "1 AS score"), ["text"], "a")
+
+
+MOZILLA = "Mozilla/5.0 "
+WEBKIT = "AppleWebKit/537.36 (KHTML, like Gecko) "
+DETAILS = [
+    (MOZILLA + "(Windows NT 10.0; Win64; x64) " + WEBKIT + "Chrome/120.0.0.0 Safari/537.36 Edg/120.0.2210.91", ("Edg", "120.0.2210.91", "Windows", "10.0", False)),
+    (MOZILLA + "(Linux; Android 13; SM-S901B) " + WEBKIT + "SamsungBrowser/23.0 Chrome/115.0.0.0 Mobile Safari/537.36", ("SamsungBrowser", "23.0", "Android", "13", False)),
+    (MOZILLA + "(Linux; Android 14; Pixel 8) " + WEBKIT + "Chrome/120.0.0.0 Mobile Safari/537.36", ("Chrome", "120.0.0.0", "Android", "14", False)),
+    (MOZILLA + "(Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/17.1 Safari/605.1.15", ("Safari", "17.1", "macOS", "10.15.7", False)),
+    (MOZILLA + "(iPad; CPU OS 16_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) CriOS/120.0.6099.50 Mobile/15E148 Safari/604.1", ("CriOS", "120.0.6099.50", "iOS", "16.6", False)),
+    (MOZILLA + "(X11; CrOS x86_64 14541.0.0) " + WEBKIT + "Chrome/119.0.0.0 Safari/537.36", ("Chrome", "119.0.0.0", "ChromeOS", "14541.0.0", False)),
+    (MOZILLA + "(X11; Linux x86_64; rv:121.0) Gecko/20100101 Firefox/121.0", ("Firefox", "121.0", "Linux", None, False)),
+    (MOZILLA + "(compatible; MSIE 9.0; Windows NT 6.1; Trident/5.0)", ("MSIE", "9.0", "Windows", "6.1", False)),
+    (MOZILLA + "(Windows NT 10.0; WOW64; Trident/7.0; rv:11.0) like Gecko", ("MSIE", "11.0", "Windows", "10.0", False)),
+    (MOZILLA + "(compatible; Googlebot/2.1; +http://www.google.com/bot.html)", ("Googlebot", "2.1", None, None, True)),
+    (MOZILLA + WEBKIT[:-2] + "; compatible; bingbot/2.0; +http://www.bing.com/bingbot.htm) Chrome/116.0 Safari/537.36", ("bingbot", "2.0", None, None, True)),
+    (MOZILLA + "(compatible; Yahoo! Slurp; http://help.yahoo.com/help/us/ysearch/slurp)", ("Yahoo! Slurp", None, None, None, True)),
+    ("Opera/9.80 (Windows NT 6.1) Presto/2.12.388 Version/12.18", ("Opera", "12.18", "Windows", "6.1", False)),
+    ("curl/8.4.0", ("curl", "8.4.0", None, None, False)),
+    ("python-requests/2.31.0", ("python-requests", "2.31.0", None, None, False)),
+    ("Wget", ("Wget", None, None, None, False)),
+    ("((((", (None, None, None, None, False)),
+    ("", (None, None, None, None, False)),
+]
+
+
+def test_agent_details(spark):
+    df = spark.createDataFrame([(n, a) for n, (a, _) in enumerate(DETAILS)] + [(-1, None)], "n int, agent string")
+    got = {r["n"]: r["d"] for r in df.select("n", agent_details(F.col("agent")).alias("d")).collect()}
+    assert [(a, tuple(got[n])) for n, (a, _) in enumerate(DETAILS)] == DETAILS and got[-1] is None
+    twice = product_stats(df.union(df))
+    assert sum(r["request_count"] for r in twice.collect()) == 2 * len(DETAILS) + 2
+    assert {tuple(r) for r in twice.filter("product = 'MSIE'").collect()} == {
+        ("MSIE", "9.0", "Windows", "6.1", False, 2), ("MSIE", "11.0", "Windows", "10.0", False, 2)}
