@@ -15,8 +15,8 @@ from ..session import JOB_CONF, conf_values, materialise, scratch_dir
 from ..sources import decode_kafka, load_json_results, read_events, read_log_files
 from ..store import paths
 from ..streaming import (
-    ANALYSES, live_spikes as spikes_of_stream, rank_error, read_rollup, read_summaries, start_all, status, stop, stored_percentiles, stored_top_k,
-    to_files, to_rollups, to_summaries, wait_all,
+    ANALYSES, combined_progress, live_spikes as spikes_of_stream, rank_error, read_combined, read_rollup, read_summaries, start_all, status, stop, stored_percentiles, stored_top_k,
+    to_combined, to_files, to_rollups, to_summaries, wait_all,
 )
 from . import inputs
 
@@ -271,6 +271,41 @@ def late_rows(spark, sf_dir):
     return store.read_latest(spark, "traffic_by_minute", f"{base}/tables").drop("processed_at")
 
 
+def _combined(spark: SparkSession, sf_dir: str, deliveries: Iterable[Iterable[int]]) -> str:
+    """The four analyses from one parse, started again for each delivery."""
+    base = scratch_dir(spark)
+    _slices(spark, sf_dir, base)
+    for numbers in deliveries:
+        _deliver(spark, base, numbers)
+        events = op.parse_clf(read_log_files(spark, f"{base}/logs", streaming=True))
+        wait_all(spark, {"combined": to_combined(events, f"{base}/combined", f"{base}/checkpoint", available_now=True)})
+    return f"{base}/combined"
+
+
+@query
+def combined_stream(spark, sf_dir):
+    """All rows of the four tables after three starts; each line is read and parsed once."""
+    root = _combined(spark, sf_dir, [[number] for number in range(STREAM_SLICES)])
+    found = None
+    for name in ANALYSES:
+        table = read_combined(spark, root, name).withColumnsRenamed({"minute": "seen_at", "window_start": "seen_at", "timestamp": "seen_at"})
+        key = F.concat_ws(" ", *[c for c in ("ip", "method", "url", "status_code") if c in table.columns])
+        requests = F.col("request_count") if "request_count" in table.columns else F.lit(1).cast("bigint")
+        rows = table.select(F.lit(name).alias("analysis"), "seen_at", key.alias("key"), "log_type", requests.alias("requests"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query
+def late_row_counts(spark, sf_dir):
+    """The first slice of time arrives last: every line of it is counted as late, not just its windows."""
+    root = _combined(spark, sf_dir, [range(1, STREAM_SLICES), [0]])
+    counted = {name: read_combined(spark, root, name).agg(F.sum("request_count")).scalar() for name in ANALYSES if name != "error_logs"}
+    kept = F.create_map(*[c for name, total in counted.items() for c in (F.lit(name), total)])
+    found = combined_progress(spark, root)
+    return found.select("analysis", "total_rows", "total_late_rows", kept[F.col("analysis")].alias("requests"))
+
+
 @query
 def paced_stream(spark, sf_dir):
     """One file per batch gives the rows of one batch."""

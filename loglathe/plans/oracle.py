@@ -166,6 +166,20 @@ SELECT date_trunc('minute', timestamp) AS minute, count(*) AS request_count, 'tr
 FROM parsed, (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events) AS span
 WHERE (epoch_us(arrived) - low) // ((high - low) // 3 + 1) >= 1
 GROUP BY 1"""),
+    "combined_stream": _with(f"""
+SELECT 'error_logs' AS analysis, timestamp AS seen_at, ip || ' ' || method || ' ' || url || ' ' || status_code AS key, log_type,
+  1::BIGINT AS requests
+FROM ({_ERRORS})
+UNION ALL SELECT 'traffic_by_minute', minute, '', log_type, request_count FROM ({_TRAFFIC})
+UNION ALL SELECT 'top_ips', window_start, ip, log_type, request_count FROM ({_IPS})
+UNION ALL SELECT 'url_analysis', window_start, url, log_type, request_count FROM ({_URLS})"""),
+    "late_row_counts": _with("""
+SELECT analysis, count(*) AS total_rows, count_if(slice = 0)::BIGINT AS total_late_rows, count_if(slice > 0)::BIGINT AS requests
+FROM (
+  SELECT (epoch_us(arrived) - low) // ((high - low) // 3 + 1) AS slice
+  FROM parsed, (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events) AS span
+), (VALUES ('traffic_by_minute'), ('top_ips'), ('url_analysis')) AS names(analysis)
+GROUP BY analysis"""),
     "paced_stream": _with(_ERRORS),
     "stream_status": _with("""
 SELECT 'error_logs' AS name, false AS active, 0::BIGINT AS batch_id, count(*) AS input_rows, 0::BIGINT AS refused_rows,

@@ -1,5 +1,6 @@
 """Structured Streaming: sinks and the job that runs the analyses."""
 
+from .combined import combined_progress, read_combined, to_combined, write_combined
 from .job import (
     ANALYSES,
     analysis_frames,
@@ -20,10 +21,12 @@ from .summaries import (
 __all__ = [
     "ANALYSES",
     "analysis_frames",
+    "combined_progress",
     "each_batch",
     "live_spikes",
     "merged",
     "rank_error",
+    "read_combined",
     "read_rollup",
     "read_summaries",
     "roll_up",
@@ -35,6 +38,7 @@ __all__ = [
     "stop_all",
     "stored_percentiles",
     "stored_top_k",
+    "to_combined",
     "to_connector",
     "to_console",
     "to_files",
@@ -45,4 +49,5 @@ __all__ = [
     "wait_all",
     "window_summaries",
     "with_document_id",
+    "write_combined",
 ]
