@@ -12,10 +12,10 @@ from .. import operators as op
 from .. import store
 from ..functions.keys import document_id, with_message_key
 from ..session import JOB_CONF, conf_values, materialise, scratch_dir
-from ..sources import decode_kafka, load_json_results, read_events, read_log_files
+from ..sources import decode_kafka, load_json_results, read_events, read_log_files, read_paced_lines
 from ..store import paths
 from ..streaming import (
-    ANALYSES, combined_progress, live_spikes as spikes_of_stream, rank_error, read_combined, read_rollup, read_summaries, start_all, status, stop, stored_percentiles, stored_top_k,
+    ANALYSES, combined_progress, each_batch, live_spikes as spikes_of_stream, rank_error, read_combined, read_rollup, read_summaries, start_all, status, stop, stored_percentiles, stored_top_k,
     to_combined, to_files, to_rollups, to_summaries, wait_all,
 )
 from . import inputs
@@ -316,6 +316,27 @@ def paced_stream(spark, sf_dir):
     return store.read_latest(spark, "error_logs", f"{base}/tables").drop("processed_at")
 
 
+@query
+def paced_lines(spark, sf_dir):
+    """A tenth of the lines in each batch, over the ends of files; started again after the first batch."""
+    base = scratch_dir(spark)
+    inputs.raw_lines(spark, sf_dir).select("raw_log").write.text(f"{base}/logs")
+    size = 1 + spark.read.text(f"{base}/logs").count() // 10
+    for first in (True, False):
+        query = each_batch(
+            read_paced_lines(spark, f"{base}/logs", size), lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/batches/batch_id={n}"),
+            f"{base}/checkpoint", "append", trigger="0 seconds", available_now=first,
+        )
+        if first:
+            wait_all(spark, {"paced": query})
+        else:
+            query.processAllAvailable()
+            query.stop()
+    stored = spark.read.schema("raw_log string, batch_id bigint").parquet(f"{base}/batches")
+    errors = op.error_events(op.parse_clf(stored.select("raw_log"))).agg(F.count("*")).scalar()
+    return stored.groupBy("batch_id").agg(F.count("*").alias("line_count")).select("batch_id", "line_count", errors.alias("errors"))
+
+
 @query
 def stream_status(spark, sf_dir):
     """Status of a job that has read everything in one batch; then nothing runs any more."""

@@ -181,6 +181,12 @@ FROM (
 ), (VALUES ('traffic_by_minute'), ('top_ips'), ('url_analysis')) AS names(analysis)
 GROUP BY analysis"""),
     "paced_stream": _with(_ERRORS),
+    "paced_lines": _with("""
+SELECT batch_id, least(size, total - batch_id * size) AS line_count, (SELECT count(*) FROM parsed WHERE status_code >= 400) AS errors
+FROM (
+  SELECT total, size, unnest(range(0, (total + size - 1) // size)) AS batch_id
+  FROM (SELECT count(*) AS total, 1 + count(*) // 10 AS size FROM lines)
+)"""),
     "stream_status": _with("""
 SELECT 'error_logs' AS name, false AS active, 0::BIGINT AS batch_id, count(*) AS input_rows, 0::BIGINT AS refused_rows,
   0::BIGINT AS stopped

@@ -8,6 +8,7 @@ from .kafka import (
     read_kafka,
     write_kafka,
 )
+from .paced import read_paced_lines
 from .results import load_json_results, parse_documents
 
 __all__ = [
@@ -19,5 +20,6 @@ __all__ = [
     "read_events",
     "read_kafka",
     "read_log_files",
+    "read_paced_lines",
     "write_kafka",
 ]
