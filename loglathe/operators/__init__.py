@@ -13,7 +13,7 @@ from .reports import (
     top_k,
     value_percentiles,
 )
-from .tables import latest_per_key, retain, search, search_ranked, search_text, table_stats, upsert
+from .tables import latest_per_key, refusal_reasons, retain, search, search_ranked, search_text, table_stats, upsert
 from .windows import ip_activity, request_rate, traffic, url_activity, windowed_count
 
 __all__ = [
@@ -31,6 +31,7 @@ __all__ = [
     "parse_clf",
     "product_stats",
     "referrer_stats",
+    "refusal_reasons",
     "reject_counts",
     "reject_fields",
     "rejects",

@@ -10,6 +10,8 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import table_for
+
 
 def search(
     df: DataFrame, where: Column | str, order_by: Sequence[Column | str] | None = None, size: int = 100
@@ -135,3 +137,16 @@ def retain(df: DataFrame, ts_col: str, days: int, as_of: datetime | date | str |
     """Rows not older than ``days`` days before ``as_of`` (default: now)."""
     moment = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return df.filter(F.col(ts_col) >= moment - F.make_dt_interval(F.lit(days)))
+
+
+def refusal_reasons(refused: DataFrame, analysis: str) -> DataFrame:
+    """Refused documents with the first ``field`` that does not fit the table, its ``value`` and the ``expected`` type.
+
+    All three are null where every value, read from the document's text, fits: the target had another reason.
+    """
+    misfits = []
+    for field in table_for(analysis).schema.fields:
+        value = F.get_json_object("document", f"$.{field.name}")
+        misfit = F.struct(F.lit(field.name).alias("field"), value.alias("value"), F.lit(field.dataType.simpleString()).alias("expected"))
+        misfits.append(F.when(value.isNotNull() & value.try_cast(field.dataType).isNull(), misfit))
+    return refused.withColumn("_misfit", F.coalesce(*misfits)).select(*refused.columns, "_misfit.*")

@@ -15,8 +15,8 @@ from ..session import JOB_CONF, conf_values, materialise, scratch_dir
 from ..sources import decode_kafka, load_json_results, read_events, read_log_files, read_paced_lines
 from ..store import paths
 from ..streaming import (
-    ANALYSES, combined_progress, each_batch, live_spikes as spikes_of_stream, rank_error, read_combined, read_rollup, read_summaries, start_all, status, stop, stored_percentiles, stored_top_k,
-    to_combined, to_files, to_rollups, to_summaries, wait_all,
+    ANALYSES, combined_progress, each_batch, live_spikes as spikes_of_stream, rank_error, read_combined, read_refused_documents, read_rollup, read_summaries, start_all, status, stop, stored_percentiles, stored_top_k,
+    to_combined, to_documents, to_files, to_rollups, to_summaries, wait_all,
 )
 from . import inputs
 
@@ -466,6 +466,53 @@ def refused_rows(spark, sf_dir):
     return store.read_refused(spark, "error_logs", root).select(document.alias("d")).select("d.*")
 
 
+@query
+def refused_causes(spark, sf_dir):
+    """Which field of the refused rows does not fit, and what it holds."""
+    root = scratch_dir(spark)
+    store.append_rows(_misfits(op.error_events(_parsed(spark, sf_dir))), "error_logs", root)
+    causes = op.refusal_reasons(store.read_refused(spark, "error_logs", root), "error_logs")
+    return causes.groupBy("field", "value", "expected").agg(F.count("*").alias("row_count"))
+
+
+def _folder_target(folder: str) -> Callable:
+    """A stand-in for a search index: a file for each bulk; it does not accept status 403."""
+
+    def send(bulk):
+        import json
+        import uuid
+
+        from pyarrow import fs
+
+        path = "/" + folder[5:].lstrip("/") if folder.startswith("file:") else folder
+        filesystem, base = fs.FileSystem.from_uri(path)
+        filesystem.create_dir(base, recursive=True)
+        refused = [place for place, (_, document) in enumerate(bulk) if json.loads(document)["status_code"] == 403]
+        taken = [{"doc_id": doc_id, "document": document} for place, (doc_id, document) in enumerate(bulk) if place not in set(refused)]
+        with filesystem.open_output_stream(f"{base}/{uuid.uuid4().hex}.json") as file:
+            file.write("".join(json.dumps(row) + "\n" for row in taken).encode())
+        return [(place, "status 403 is not accepted") for place in refused]
+
+    return send
+
+
+@query
+def document_sink(spark, sf_dir):
+    """Documents the target took, and those it refused with its reason, over three starts."""
+    base = scratch_dir(spark)
+    _slices(spark, sf_dir, base)
+    target = _folder_target(f"{base}/index")
+    for number in range(STREAM_SLICES):
+        _deliver(spark, base, [number])
+        errors = op.error_events(op.parse_clf(read_log_files(spark, f"{base}/logs", streaming=True)))
+        wait_all(spark, {"documents": to_documents(errors, "error_logs", target, f"{base}/sent", f"{base}/checkpoint", available_now=True)})
+    refused = read_refused_documents(spark, "error_logs", f"{base}/sent").select("doc_id", "document", "reason")
+    taken = spark.read.schema("doc_id string, document string").json(f"{base}/index").withColumn("reason", F.lit("taken"))
+    fields = F.from_json("document", "url string, status_code int").alias("d")
+    found = refused.unionByName(taken).select("doc_id", "reason", fields).select("doc_id", "reason", "d.*")
+    return found.groupBy("reason", "status_code", "url").agg(F.countDistinct("doc_id").alias("documents"))
+
+
 @query
 def drop_table(spark, sf_dir):
     """Rows before the drop, what dropping twice says, and rows after it."""

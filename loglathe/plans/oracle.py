@@ -240,6 +240,13 @@ SELECT count(*) FILTER (status_code <> 403) AS written, count(*) FILTER (status_
   count(*) FILTER (status_code = 403) AS kept
 FROM parsed WHERE status_code >= 400"""),
     "refused_rows": _with("SELECT ip, url, 'forbidden' AS status_code FROM parsed WHERE status_code = 403"),
+    "refused_causes": _with(f"""
+SELECT 'status_code' AS field, 'forbidden' AS value, 'int' AS expected, count(*) AS row_count
+FROM ({_ERRORS}) WHERE status_code = 403 HAVING count(*) > 0"""),
+    "document_sink": _with(f"""
+SELECT CASE WHEN status_code = 403 THEN 'status 403 is not accepted' ELSE 'taken' END AS reason, status_code, url,
+  count(DISTINCT (ip, timestamp, method)) AS documents
+FROM ({_ERRORS}) GROUP BY ALL"""),
     "drop_table": _with("""
 SELECT count(*) AS rows_before, true AS dropped, false AS dropped_again, 0::BIGINT AS rows_after
 FROM parsed WHERE status_code >= 400"""),

@@ -1,6 +1,7 @@
 """Structured Streaming: sinks and the job that runs the analyses."""
 
 from .combined import combined_progress, read_combined, to_combined, write_combined
+from .documents import read_refused_documents, send_documents, to_documents
 from .job import (
     ANALYSES,
     analysis_frames,
@@ -27,10 +28,12 @@ __all__ = [
     "merged",
     "rank_error",
     "read_combined",
+    "read_refused_documents",
     "read_rollup",
     "read_summaries",
     "roll_up",
     "search_index_options",
+    "send_documents",
     "start_all",
     "start_all_connector",
     "status",
@@ -41,6 +44,7 @@ __all__ = [
     "to_combined",
     "to_connector",
     "to_console",
+    "to_documents",
     "to_files",
     "to_rollups",
     "to_summaries",
