@@ -181,6 +181,10 @@ FROM (
 ), (VALUES ('traffic_by_minute'), ('top_ips'), ('url_analysis')) AS names(analysis)
 GROUP BY analysis"""),
     "paced_stream": _with(_ERRORS),
+    "empty_batches": _with("""
+SELECT (epoch_us(arrived) - low) // ((high - low) // 3 + 1) AS batch_id, count(*) AS row_count, 2::BIGINT AS last_batch
+FROM parsed, (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events) AS span
+WHERE status_code >= 400 GROUP BY 1 HAVING batch_id <> 1"""),
     "paced_lines": _with("""
 SELECT batch_id, least(size, total - batch_id * size) AS line_count, (SELECT count(*) FROM parsed WHERE status_code >= 400) AS errors
 FROM (
