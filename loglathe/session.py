@@ -86,10 +86,12 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a batch input with fewer splits than cores to all cores.
+    """Deal a batch input evenly over all cores, and over as many tasks as it has splits.
 
     For inputs Spark cannot split, such as gzip files or one row group, and work
-    that costs more than moving the rows. Anything larger is returned as it is.
+    that costs more than moving the rows. The number of splits says nothing about
+    where the rows are: a large file of one row group has many splits, all empty
+    but one. So the rows are always dealt round robin.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(cores, df.rdd.getNumPartitions()))
